@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reckoner.sources.memory import from_values
+
 # The stop words of the checks, with a repeat and a two-word entry.
 STOP_WORDS = ["the", "and", "of", "is", "de", "la", "le", "un", "und", "die", "el", "en", "the", "of the"]
 
@@ -123,7 +125,7 @@ class Star:
         )
 
     def stop_words(self) -> DataFrame:
-        return self.spark.createDataFrame([(w,) for w in STOP_WORDS], "word string")
+        return from_values(self.spark, STOP_WORDS, "word")
 
     # Orders
 

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_HALF_SPLIT = float(2**20)
-
 
 def parse_number(col: Column, dtype: str, on_bad: str = "fail") -> Column:
     """Text to number. ``on_bad`` is ``"fail"`` or ``"null"``.
@@ -29,24 +27,20 @@ def ratio(total: Column, n: Column, default: float | None = None) -> Column:
 
 def fixed2_half_up(x: Column) -> Column:
     """Two decimals, rounding half up on the shortest decimal (3.775 -> 3.78)."""
-    return F.format_string("%.2f", x)
+    return F.when(x.isNotNull(), F.format_string("%.2f", x))
 
 
 def fixed2_binary(x: Column) -> Column:
     """Two decimals of the exact binary value, ties to even (3.775 -> 3.77).
 
-    3.775 is stored slightly below its decimal text, 4.125 exactly. The value
-    is split in two so that both halves times 100 are exact; the sign of their
-    distance to the midpoint is then exact too. Meant for ``abs(x) < 2**31``.
+    3.775 is stored slightly below its decimal text, 4.125 exactly. Only when
+    the product with 100 falls on a half can its rounding hide on which side
+    the exact value lies. Both halves of ``x`` times 100 are exact, so the
+    error of the product is too. Meant for ``abs(x) < 2**40``.
     """
-    size = F.abs(x)
-    high = F.floor(size * _HALF_SPLIT) / _HALF_SPLIT
-    low = size - high
-    whole = F.floor(high * 100.0)
-    past_middle = (high * 100.0 - whole - F.lit(0.5)) + low * 100.0
-    up = (past_middle > 0) | ((past_middle == 0) & (whole % 2 == 1))
-    cents = (whole + F.when(up, 1).otherwise(0)).cast("long")
-    units = F.floor(cents / 100).cast("long")
-    text = F.format_string("%d.%02d", units, cents - units * 100)
-    signed = F.when(x < 0, F.concat(F.lit("-"), text)).otherwise(text)
-    return F.when(x.isNotNull(), signed)
+    product = x * 100.0
+    high = x.cast("float").cast("double")
+    error = (high * 100.0 - product) + (x - high) * 100.0
+    hidden = (product - F.floor(product) == 0.5) & (error != 0.0)
+    cents = F.when(hidden, F.floor(product) + F.when(error > 0.0, 1).otherwise(0)).otherwise(F.rint(product))
+    return F.when(x.isNotNull(), F.format_string("%.2f", cents / 100.0))

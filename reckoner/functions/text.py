@@ -54,6 +54,6 @@ def pad_text(col: Column, width: int) -> Column:
     return F.rpad(text, F.greatest(F.length(text), F.lit(width)), F.lit(" "))
 
 
-def or_default(col: Column, default) -> Column:
-    """Replace a missing value."""
-    return F.coalesce(col, F.lit(default))
+def pad_ascii(col: Column, width: int) -> Column:
+    """``pad_text`` for computed ASCII text, which it evaluates only once."""
+    return F.format_string(f"%-{width}s", col)

@@ -2,8 +2,9 @@
 
 ``reviews`` holds id, review, category, aspect, sentiment; ``stop_words`` one
 column of words. Words are counted before stop words are removed wherever only
-counts are needed: the anti join then sees distinct words instead of tokens,
-and the frequent stop words have already become one row per task.
+counts are needed: a long list, which has to be shuffled, then meets distinct
+words instead of tokens. A short list is broadcast, and Spark moves that anti
+join below the count by itself.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from reckoner.functions.buckets import FOUR_AGES, SEVEN_AGES
 from reckoner.functions.numbers import fixed2_binary, fixed2_half_up
-from reckoner.functions.text import left_text, pad_text
+from reckoner.functions.text import left_text, pad_ascii, pad_text
+from reckoner.sources.memory import from_values
 
 # Texts of the reports. %s stands for a formatted value.
 KEY_VALUE = "%s\t%s"
@@ -57,7 +58,7 @@ def _or(text: Column, missing: str) -> Column:
 
 
 def _half_up_or(mean: str, missing: str) -> Column:
-    return F.when(F.col(mean).isNotNull(), fixed2_half_up(F.col(mean))).otherwise(missing)
+    return _or(fixed2_half_up(F.col(mean)), missing)
 
 
 # Key and value, separated by a tab.
@@ -117,7 +118,7 @@ def genre_lines(means: DataFrame) -> DataFrame:
 
 
 def gender_lines(means: DataFrame) -> DataFrame:
-    male, female = (pad_text(_or(fixed2_binary(F.col(c)), MISSING), 5) for c in ("avg_male", "avg_female"))
+    male, female = (pad_ascii(_or(fixed2_binary(F.col(c)), MISSING), 5) for c in ("avg_male", "avg_female"))
     return _line(means, GENDER_LINE, pad_text(F.col("movie_id"), 5), left_text(F.col("title"), 40), male, female)
 
 
@@ -126,7 +127,7 @@ def age7_lines(means: DataFrame) -> DataFrame:
     for b in SEVEN_AGES:
         mean, votes = F.col(f"avg_{b.name}"), F.col(f"n_{b.name}")
         value = F.when(votes > 0, F.format_string(AGE7_VALUE, fixed2_binary(mean), votes)).otherwise(MISSING)
-        groups.append(F.concat(F.lit(f"{b.label}: "), pad_text(value, 15)))
+        groups.append(F.concat(F.lit(f"{b.label}: "), pad_ascii(value, 15)))
     return _line(
         means,
         AGE7_LINE,
@@ -153,5 +154,5 @@ def total_lines(totals: DataFrame) -> DataFrame:
 
 def with_header(lines: DataFrame, header: str) -> DataFrame:
     """The header line, then all lines."""
-    first = lines.sparkSession.createDataFrame([(header,)], "line string")
+    first = from_values(lines.sparkSession, [header], "line")
     return first.unionByName(lines)
