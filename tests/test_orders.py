@@ -1,0 +1,140 @@
+import random
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+from conftest import rows
+
+from reckoner.plans import orders as plans
+from reckoner.sinks import reports
+
+
+def _orders(spark):
+    data = [
+        ("o1", "c1", datetime(2023, 1, 5), datetime(2023, 1, 9), Decimal("10.00")),
+        ("o2", "c1", datetime(2023, 12, 31), datetime(2024, 1, 2), Decimal("30.00")),
+        ("o3", "c2", datetime(2024, 1, 1), None, Decimal("5.00")),
+        ("o4", None, None, datetime(2024, 2, 1), Decimal("7.00")),
+        ("o5", "c9", datetime(2024, 1, 31), datetime(2024, 2, 10), Decimal("400.00")),
+    ]
+    shape = (
+        "order_id string, customer_id string, purchased_at timestamp_ntz, delivered_at timestamp_ntz, "
+        "order_value decimal(14,2)"
+    )
+    return spark.createDataFrame(data, shape)
+
+
+def _items(spark):
+    limit = datetime(2024, 2, 2)
+    data = [
+        ("o2", "p1", "s1", Decimal("20.00"), Decimal("1.50"), limit),
+        ("o3", "p1", "s1", Decimal("5.00"), Decimal("0.50"), limit),
+        ("o3", "p2", None, Decimal("8.00"), Decimal("2.00"), limit),
+        ("o5", "p1", "s2", Decimal("30.00"), Decimal("0.00"), limit),
+        ("o5", "p2", "s2", Decimal("3.00"), Decimal("0.00"), None),
+        ("o5", "p10", "s3", Decimal("5.50"), Decimal("0.00"), limit),
+    ]
+    shape = (
+        "order_id string, product_id string, seller_id string, price decimal(12,2), freight decimal(12,2), "
+        "ship_limit timestamp_ntz"
+    )
+    return spark.createDataFrame(data, shape)
+
+
+def test_schema_report(spark):
+    assert rows(plans.schema_report(_orders(spark)))[:3] == [
+        (1, "order_id", "string", False),
+        (2, "customer_id", "string", True),
+        (3, "purchased_at", "timestamp_ntz", True),
+    ]
+
+
+def test_totals_count_a_missing_key_once(spark):
+    totals = plans.order_totals(_orders(spark), _items(spark))
+    assert sorted(rows(totals)) == [("customers", 4), ("orders", 5), ("sellers", 4)]
+    assert sorted(r.line for r in reports.total_lines(totals).collect()) == sorted(
+        ["Tổng số đơn hàng: 5", "Tổng số khách hàng: 4", "Tổng số người bán: 4"]
+    )
+
+
+def test_orders_by_country_counts_known_customers(spark):
+    customers = spark.createDataFrame([("c1", "Germany"), ("c2", "France")], "customer_id string, country string")
+    assert rows(plans.orders_by_country(_orders(spark), customers)) == [("Germany", 2), ("France", 1)]
+
+
+def test_orders_by_month_years_up_months_down(spark):
+    assert rows(plans.orders_by_month(_orders(spark))) == [
+        (None, None, 1), (2023, 12, 1), (2023, 1, 1), (2024, 1, 2),
+    ]
+
+
+def test_review_scores_ignore_what_is_no_score(spark):
+    data = [("o1", s) for s in ["5", "5", "3", "0", "6", "abc", None, " 1 ", "4.5"]]
+    reviews = spark.createDataFrame(data, "order_id string, score string")
+    assert rows(plans.review_score_counts(reviews)) == [(1, 1, 3.5), (3, 1, 3.5), (5, 2, 3.5)]
+
+
+def test_revenue_of_a_year(spark):
+    products = spark.createDataFrame(
+        [("p1", "toys"), ("p2", "books"), ("p10", "toys")], "product_id string, category string"
+    )
+    got = plans.revenue_by_category(_orders(spark), _items(spark), products, 2024)
+    assert sorted(rows(got)) == [("books", Decimal("13.00")), ("toys", Decimal("41.00"))]
+
+
+def test_best_selling_product(spark):
+    assert rows(plans.best_selling_product(_items(spark))) == [("p1", 3)]
+    assert rows(plans.best_selling_product(_items(spark).filter("product_id <> 'p1'"))) == [("p2", 2)]
+
+
+def test_product_scores_equal_all_pairs(spark):
+    rng = random.Random(3)
+    # One order holds a third of all items and of all reviews.
+    items = [(0 if i % 3 == 0 else rng.randrange(20), rng.randrange(6)) for i in range(300)]
+    reviews = [(0 if i % 3 == 0 else rng.randrange(20), str(rng.randrange(0, 7))) for i in range(90)]
+    want: dict[int, list[int]] = {}
+    for order, product in items:
+        for reviewed, score in reviews:
+            if order == reviewed and 1 <= int(score) <= 5:
+                want.setdefault(product, []).append(int(score))
+    got = plans.product_scores(
+        spark.createDataFrame(items, "order_id int, product_id int"),
+        spark.createDataFrame(reviews, "order_id int, score string"),
+    )
+    assert {r.product_id: (r.avg_score, r.n_scores) for r in got.collect()} == {
+        p: (sum(s) / len(s), len(s)) for p, s in want.items()
+    }
+
+
+def test_delivery_delay_leaves_out_missing_dates(spark):
+    # o2 on 2 January is 31 days early, o5 on 10 February 8 days late, twice.
+    assert rows(plans.delivery_delay(_orders(spark), _items(spark))) == [(3, -5.0, 2 / 3)]
+
+
+def test_customer_segments(spark):
+    segments = plans.customer_segments(_orders(spark), many_orders=2, high_value=100.0, frequent=2.0)
+    got = {r.customer_id: tuple(r)[1:] for r in segments.collect()}
+    assert got["c1"] == (2, 20.0, 2 * 30.0 / 361, "loyal")
+    assert got["c9"] == (1, 400.0, 30.0, "one-time")
+    assert dict(rows(plans.segment_sizes(segments))) == {"loyal": 1, "one-time": 3}
+
+
+@pytest.mark.parametrize("sellers", [1, 40])
+def test_seller_ranking(spark, sellers):
+    data = [(f"o{i}", f"s{i % sellers}", Decimal(i % 5), Decimal(1)) for i in range(200)]
+    items = spark.createDataFrame(
+        data, "order_id string, seller_id string, price decimal(12,2), freight decimal(12,2)"
+    )
+    sums: dict[str, list] = {}
+    for order, seller, price, freight in data:
+        entry = sums.setdefault(seller, [Decimal(0), set()])
+        entry[0] += price + freight
+        entry[1].add(order)
+    keys = {s: (total, len(placed)) for s, (total, placed) in sums.items()}
+    want = {s: 1 + sum(other > key for other in keys.values()) for s, key in keys.items()}
+    assert {r.seller_id: r.seller_rank for r in plans.seller_ranking(items).collect()} == want
+
+
+def test_sellers_of_the_fixture(spark):
+    ranked = plans.seller_ranking(_items(spark))
+    assert {r.seller_id: r.seller_rank for r in ranked.collect()} == {"s2": 1, "s1": 2, None: 3, "s3": 4}
