@@ -139,7 +139,7 @@ def age_buckets(s: Star) -> DataFrame:
 
 
 def union_all_parts(s: Star) -> DataFrame:
-    return union_all(s.rating_parts()).select("user_id", "movie_id", "rating", "rated_at")
+    return union_all(s.rating_parts())
 
 
 def distinct_pairs(s: Star) -> DataFrame:

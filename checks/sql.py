@@ -35,9 +35,15 @@ _MOVIE_OUTER = """movie_outer AS (
     FROM (SELECT l_partkey AS movie_id, avg(l_quantity) AS avg_rating, count(*) AS n_ratings
           FROM lineitem GROUP BY l_partkey) r
     LEFT JOIN movies m ON r.movie_id = m.movie_id)"""
-_MOVIE_INNER = """movie_inner AS (
-    SELECT m.movie_id, m.title, avg(l.l_quantity) AS avg_rating, count(*) AS n_ratings
-    FROM lineitem l JOIN movies m ON l.l_partkey = m.movie_id GROUP BY m.movie_id, m.title)"""
+_PARTS = """parts AS (
+    SELECT l_partkey AS movie_id, l_quantity AS rating FROM lineitem
+    UNION ALL SELECT p_partkey, CAST(p_size AS DOUBLE) FROM part)"""
+_MOVIE_INNER = (
+    _PARTS
+    + """, movie_inner AS (
+    SELECT m.movie_id, m.title, avg(r.rating) AS avg_rating, count(*) AS n_ratings
+    FROM parts r JOIN movies m ON r.movie_id = m.movie_id GROUP BY m.movie_id, m.title)"""
+)
 _GENRES = """genre_avg AS (
     SELECT genre, avg(l_quantity) AS avg_rating, count(*) AS n_ratings
     FROM (SELECT l.l_quantity, unnest(string_split(m.genres, '|')) AS genre
@@ -300,9 +306,7 @@ SQL: dict[str, str] = {
                 CASE {" ".join(f"WHEN {c} THEN '{t}'" for t, c in zip(_SEVEN_LABELS, _SEVEN.values()))} END AS seven,
                 count(*) AS n
           FROM all_users u GROUP BY 1, 2""",
-    "union_all_parts": """
-        SELECT l_orderkey AS user_id, l_partkey AS movie_id, l_quantity AS rating,
-               epoch_us(l_shipdate) // 1000000 AS rated_at FROM lineitem""",
+    "union_all_parts": _with(_PARTS) + "SELECT movie_id, rating FROM parts",
     "distinct_pairs": "SELECT DISTINCT l_suppkey, l_returnflag FROM lineitem",
     "explode_genres": "SELECT p_partkey AS movie_id, unnest([p_type, p_brand]) AS genre FROM part",
     "two_decimals": """

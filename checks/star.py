@@ -39,14 +39,14 @@ class Star:
             F.col("l_partkey").alias("movie_id"),
             F.col("l_quantity").alias("rating"),
             epoch.alias("rated_at"),
-            "l_linestatus",
         )
 
     def rating_parts(self) -> list[DataFrame]:
-        """Two disjoint sets, as if read from two files."""
-        ratings = self.ratings()
-        is_open = F.col("l_linestatus") == "O"
-        return [ratings.filter(is_open), ratings.filter(~is_open)]
+        """Two sets, as if read from two files: line items, and the size of every part as one more rating."""
+        sizes = self.table("part").select(
+            F.col("p_partkey").alias("movie_id"), F.col("p_size").cast("double").alias("rating")
+        )
+        return [self.ratings().select("movie_id", "rating"), sizes]
 
     def customer_ratings(self) -> DataFrame:
         items = self.table("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_quantity")

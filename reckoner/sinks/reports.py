@@ -42,6 +42,9 @@ GENDERS_HEADER = "--- DIEM TRUNG BINH THEO PHIM VA GIOI TINH ---"
 AGES_HEADER = "--- ĐIỂM TRUNG BÌNH PHIM THEO NHÓM TUỔI ---"
 OCCUPATIONS_HEADER = "--- ĐIỂM TRUNG BÌNH THEO NGHỀ NGHIỆP ---"
 YEARS_HEADER = "--- ĐIỂM TRUNG BÌNH VÀ TỔNG LƯỢT ĐÁNH GIÁ THEO NĂM ---"
+SCHEMA_HEADER = "Cấu trúc Schema:"
+COUNTRIES_HEADER = "Số lượng đơn hàng theo quốc gia:"
+MONTHS_HEADER = "Số lượng đơn hàng nhóm theo năm, tháng đặt hàng (Năm tăng dần, Tháng giảm dần):"
 TOTAL_LABELS = {
     "orders": "Tổng số đơn hàng",
     "customers": "Tổng số khách hàng",

@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame
 
+SETTING = "spark.checkpoint.dir"
+
 
-def stage(df: DataFrame, directory: str | None = None) -> DataFrame:
+def stage(df: DataFrame) -> DataFrame:
     """Compute once into the reliable checkpoint folder and read it from there.
 
-    The session's ``spark.checkpoint.dir`` decides the folder; ``directory`` is
-    used only where none is set. Lost executors do not lose the files.
+    The session's ``spark.checkpoint.dir`` names the folder, which all
+    executors share, so lost executors do not lose the files. Only a session
+    on one machine may leave it unset; it then gets a temporary folder.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        configured = df.sparkSession.conf.get("spark.checkpoint.dir", directory)
-        if configured is None:
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(configured)
+    session, context = df.sparkSession, df.sparkSession.sparkContext
+    current = context.getCheckpointDir()
+    wanted = session.conf.get(SETTING, None)
+    if wanted is None and current is None:
+        if not context.master.startswith("local"):
+            raise ValueError(f"set {SETTING} to a folder that all executors share")
+        wanted = tempfile.mkdtemp(prefix="reckoner-checkpoint-")
+    if wanted is not None and (current is None or wanted not in current):
+        context.setCheckpointDir(wanted)
     return df.checkpoint()

@@ -4,7 +4,7 @@ from conftest import rows
 from reckoner.sources import datasets
 from reckoner.sources.csv import read_declared, read_with_header
 from reckoner.sources.memory import from_values
-from reckoner.sources.staging import stage
+from reckoner.sources.staging import SETTING, stage
 from reckoner.sources.text import BOUNDED_STRICT, TRIMMED_LENIENT, TRIMMED_STRICT, Dialect, parse_lines, read_lines
 
 
@@ -136,9 +136,10 @@ def test_values_are_a_relation_of_known_size(spark):
     assert [r[0] for r in rows(df)] == [1, 2, 3]
 
 
-def test_stage_reads_the_folder_of_the_session(spark):
+def test_stage_reads_the_folder_of_the_session(spark, conf, tmp_path):
     staged = stage(spark.range(10).selectExpr("id", "id * 2 AS twice"))
-    assert spark.sparkContext.getCheckpointDir().startswith(
-        "file:" + spark.conf.get("spark.checkpoint.dir")
-    )
+    assert spark.conf.get(SETTING) in spark.sparkContext.getCheckpointDir()
     assert sorted(rows(staged))[-1] == (9, 18)
+    conf(spark__checkpoint__dir=str(tmp_path))
+    stage(spark.range(3))
+    assert str(tmp_path) in spark.sparkContext.getCheckpointDir()
