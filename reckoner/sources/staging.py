@@ -17,12 +17,11 @@ def stage(df: DataFrame) -> DataFrame:
     on one machine may leave it unset; it then gets a temporary folder.
     """
     session, context = df.sparkSession, df.sparkSession.sparkContext
-    current = context.getCheckpointDir()
-    wanted = session.conf.get(SETTING, None)
-    if wanted is None and current is None:
-        if not context.master.startswith("local"):
-            raise ValueError(f"set {SETTING} to a folder that all executors share")
-        wanted = tempfile.mkdtemp(prefix="reckoner-checkpoint-")
-    if wanted is not None and (current is None or wanted not in current):
-        context.setCheckpointDir(wanted)
+    if context.getCheckpointDir() is None:
+        folder = session.conf.get(SETTING, None)
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise ValueError(f"set {SETTING} to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="reckoner-checkpoint-")
+        context.setCheckpointDir(folder)
     return df.checkpoint()
