@@ -25,14 +25,14 @@ def best_with_ties(df: DataFrame, metric: str) -> DataFrame:
 
 
 def top_k_per_group(
-    df: DataFrame, group: str, metric: str, tie_break: str, k: int, rank: str = "rank"
+    df: DataFrame, groups: Sequence[str], metric: str, tie_break: str, k: int, rank: str = "rank"
 ) -> DataFrame:
     """The k greatest rows of each group, numbered from 1.
 
     Spark trims every task to k rows per group before the shuffle, so a group
     holding a third of the rows still arrives as k rows per task.
     """
-    order = Window.partitionBy(group).orderBy(F.desc(metric), F.col(tie_break))
+    order = Window.partitionBy(*groups).orderBy(F.desc(metric), F.col(tie_break))
     return df.withColumn(rank, F.row_number().over(order)).filter(F.col(rank) <= k)
 
 

@@ -80,8 +80,12 @@ def valid_scores(reviews: DataFrame) -> DataFrame:
 
 
 def review_score_counts(reviews: DataFrame) -> DataFrame:
-    """Reviews per valid score, and the mean of all valid scores next to each."""
-    counts = row_count(valid_scores(reviews), ["score"], "n_reviews")
+    """Reviews per valid score, and the mean of all valid scores next to each.
+
+    Equal texts are counted before they are parsed.
+    """
+    texts = row_count(reviews, ["score"], "n")
+    counts = valid_scores(texts).groupBy("score").agg(F.sum("n").alias("n_reviews"))
     overall = counts.agg(F.sum(F.col("score") * F.col("n_reviews")) / F.sum("n_reviews")).scalar()
     return counts.withColumn("avg_score", overall).orderBy("score")
 

@@ -9,6 +9,8 @@ join below the count by itself.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,12 +61,37 @@ def top_aspect(reviews: DataFrame, sentiment: str) -> DataFrame:
     return best_one(_aspect_counts(reviews, sentiment), "cnt", "aspect")
 
 
+def aspect_sentiment_counts(reviews: DataFrame) -> DataFrame:
+    """Reviews with an id per aspect and sentiment, for several extremes of one scan."""
+    return count_of(reviews, ["aspect", "sentiment"], "id", "cnt")
+
+
+def top_of_counts(counts: DataFrame, sentiment: str, ties: bool = True) -> DataFrame:
+    """As ``top_aspects`` or, without ``ties``, ``top_aspect``, from counts made before."""
+    chosen = equal_to(counts, "sentiment", sentiment).select("aspect", "cnt")
+    return best_with_ties(chosen, "cnt") if ties else best_one(chosen, "cnt", "aspect")
+
+
+def _clean_counts(reviews: DataFrame, stop_words: DataFrame, groups: Sequence[str]) -> DataFrame:
+    words = explode_words(reviews, "review", groups)
+    return not_listed(word_counts(words, [*groups, "word"], "category", "cnt"), "word", stop_words)
+
+
 def top_words(reviews: DataFrame, stop_words: DataFrame, k: int = 5, sentiment: str | None = None) -> DataFrame:
     """The k most frequent words per category that are no stop words, ranked."""
     chosen = reviews if sentiment is None else equal_to(reviews, "sentiment", sentiment)
-    words = explode_words(chosen, "review", ["category"])
-    counts = not_listed(word_counts(words, ["category", "word"], "category", "cnt"), "word", stop_words)
-    return top_k_per_group(counts, "category", "cnt", "word", k).select("category", "rank", "word", "cnt")
+    counts = _clean_counts(chosen, stop_words, ["category"])
+    return top_k_per_group(counts, ["category"], "cnt", "word", k).select("category", "rank", "word", "cnt")
+
+
+def top_words_by_sentiment(
+    reviews: DataFrame, stop_words: DataFrame, sentiments: Sequence[str] = (POSITIVE, NEGATIVE), k: int = 5
+) -> DataFrame:
+    """``top_words`` of several sentiments from one scan, with the sentiment in front."""
+    chosen = reviews.filter(F.col("sentiment").isin(*sentiments))
+    counts = _clean_counts(chosen, stop_words, ["sentiment", "category"])
+    top = top_k_per_group(counts, ["sentiment", "category"], "cnt", "word", k)
+    return top.select("sentiment", "category", "rank", "word", "cnt")
 
 
 def nested_top_words(top: DataFrame) -> DataFrame:

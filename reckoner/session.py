@@ -19,6 +19,7 @@ def local_session(cores: int | str = "*", app: str = "reckoner", **conf: str) ->
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
         .config("spark.sql.shuffle.partitions", "8" if cores == "*" else str(cores))
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="reckoner-checkpoint-"))
     )

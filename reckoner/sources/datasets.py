@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,3 +66,19 @@ def read_stop_words(spark: SparkSession, path) -> DataFrame:
 def read_orders(spark: SparkSession, path, infer: bool = False) -> DataFrame:
     """Orders with their known schema, or with inferred types."""
     return read_with_header(spark, path, None if infer else ORDERS)
+
+
+# File columns and the names the analyses use.
+ORDER_NAMES = {
+    "Order_ID": "order_id",
+    "Customer_Trx_ID": "customer_id",
+    "Order_Purchase_Timestamp": "purchased_at",
+    "Order_Delivered_Carrier_Date": "delivered_at",
+}
+CUSTOMER_NAMES = {"Customer_Trx_ID": "customer_id", "Customer_Country": "country"}
+ITEM_NAMES = {"Seller_ID": "seller_id"}
+
+
+def renamed(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
+    """Only the named columns, under their new names."""
+    return df.select(*[F.col(old).alias(new) for old, new in names.items()])

@@ -98,7 +98,7 @@ def test_best_with_ties_keeps_all(spark):
 def test_top_k_with_tie_at_the_cut_and_nesting(spark):
     data = [("x", w, n) for w, n in [("b", 5), ("a", 5), ("d", 3), ("c", 3), ("e", 9)]] + [("y", "z", 1)]
     df = spark.createDataFrame(data, "g string, w string, n int")
-    top = top_k_per_group(df, "g", "n", "w", 4)
+    top = top_k_per_group(df, ["g"], "n", "w", 4)
     assert sorted(rows(top.select("g", "rank", "w", "n"))) == [
         ("x", 1, "e", 9), ("x", 2, "a", 5), ("x", 3, "b", 5), ("x", 4, "c", 3), ("y", 1, "z", 1),
     ]
