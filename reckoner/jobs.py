@@ -1,6 +1,6 @@
 """Whole programs: input files to output folders of text.
 
-    spark-submit -m reckoner.jobs NAME input=path ... out=folder
+    PYTHONPATH=. spark-submit reckoner/jobs.py NAME input=path ... out=folder
     python -m reckoner.jobs                      # lists names and inputs
 
 The session is whatever the submission configures. Results that feed several
@@ -27,6 +27,10 @@ from reckoner.sources.memory import from_values
 from reckoner.sources.staging import stage
 from reckoner.sources.text import BOUNDED_STRICT, TRIMMED_LENIENT, TRIMMED_STRICT
 
+# Users from files are reduced to one row per id, and the join would reuse that
+# shuffle. Salting gives it a shuffle of its own, in which hot users split.
+USER_SALTS = 8
+
 Paths = Mapping[str, str]
 Outputs = dict[str, DataFrame]
 
@@ -60,7 +64,7 @@ def gender_pairs(spark: SparkSession, paths: Paths) -> Outputs:
     rated = datasets.read_ratings(spark, paths["ratings"], TRIMMED_LENIENT)
     movies = datasets.read_movies(spark, paths["movies"], TRIMMED_LENIENT, ["movie_id", "title"])
     users = datasets.read_users(spark, paths["users"], TRIMMED_LENIENT, ["user_id", "gender"])
-    means = ratings.gender_means_known(rated, users, movies)
+    means = ratings.gender_means_known(rated, users, movies, USER_SALTS)
     return {"means": reports.gender_pairs(by_text_key(means, "movie_id"))}
 
 
@@ -68,7 +72,8 @@ def age4_pairs(spark: SparkSession, paths: Paths) -> Outputs:
     rated = datasets.read_ratings(spark, paths["ratings"], TRIMMED_LENIENT)
     movies = datasets.read_movies(spark, paths["movies"], TRIMMED_LENIENT, ["movie_id", "title"])
     users = datasets.read_users(spark, paths["users"], TRIMMED_LENIENT, ["user_id", "age"], text_age=True)
-    return {"means": reports.age4_pairs(by_text_key(ratings.age4_means(rated, users, movies), "movie_id"))}
+    means = ratings.age4_means(rated, users, movies, USER_SALTS)
+    return {"means": reports.age4_pairs(by_text_key(means, "movie_id"))}
 
 
 # Comma files whose last field takes further commas, two rating files,
@@ -104,13 +109,15 @@ def genre_lines(spark: SparkSession, paths: Paths) -> Outputs:
 
 def gender_lines(spark: SparkSession, paths: Paths) -> Outputs:
     rated = union_all(_rating_parts(spark, paths))
-    means = ratings.gender_means_all(rated, _users(spark, paths, "gender"), _movies(spark, paths, "title"))
+    users, movies = _users(spark, paths, "gender"), _movies(spark, paths, "title")
+    means = ratings.gender_means_all(rated, users, movies, USER_SALTS)
     return {"means": reports.with_header(reports.gender_lines(means), reports.GENDERS_HEADER)}
 
 
 def age7_lines(spark: SparkSession, paths: Paths) -> Outputs:
     rated = union_all(_rating_parts(spark, paths))
-    means = ratings.age7_means(rated, _users(spark, paths, "age"), _movies(spark, paths, "title"))
+    users, movies = _users(spark, paths, "age"), _movies(spark, paths, "title")
+    means = ratings.age7_means(rated, users, movies, USER_SALTS)
     return {"means": reports.with_header(reports.age7_lines(means), reports.AGES_HEADER)}
 
 
