@@ -17,7 +17,7 @@ from reckoner.operators.tokens import explode_list
 from reckoner.plans import orders, ratings, reviews
 from reckoner.sinks import reports
 from reckoner.sinks.writers import delimited_lines
-from reckoner.sources.text import Dialect, parse_declared, parse_lines
+from reckoner.sources.text import Dialect, first_field, parse_declared, parse_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,6 +116,11 @@ def scan_bounded_last_field(s: Star) -> DataFrame:
     return parse_lines(lines, "doc_id bigint, lang string, text string", Dialect(bounded=True))
 
 
+def scan_first_field(s: Star) -> DataFrame:
+    lines = s.table("customer").select(F.concat_ws("\t", "c_name", "c_mktsegment").alias("value"))
+    return first_field(lines, "c_name")
+
+
 def scan_declared_no_quotes(s: Star) -> DataFrame:
     """Semicolon lines whose fields hold quotes; the type name is no number."""
     lines = s.table("events").select(
@@ -238,6 +243,7 @@ _BUILDERS: dict[str, Callable[[Star], DataFrame]] = {
     "scan_trimmed_drop_short": scan_trimmed_drop_short,
     "scan_short_row_null": scan_short_row_null,
     "scan_bounded_last_field": scan_bounded_last_field,
+    "scan_first_field": scan_first_field,
     "scan_declared_no_quotes": scan_declared_no_quotes,
     "lookup_salted": lookup_salted,
     "age_buckets": age_buckets,

@@ -296,6 +296,7 @@ SQL: dict[str, str] = {
     "scan_short_row_null": """
         SELECT c_custkey, c_name, CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS c_mktsegment FROM customer""",
     "scan_bounded_last_field": "SELECT doc_id, lang, text FROM documents",
+    "scan_first_field": "SELECT c_name FROM customer",
     "scan_declared_no_quotes": "SELECT event_id, props, event_type, CAST(NULL AS INTEGER) AS bad_number FROM events",
     "lookup_salted": _with(_USERS)
     + """SELECT coalesce(u.gender, 'Unknown') AS gender, count(*) AS n, sum(l.l_quantity) AS total

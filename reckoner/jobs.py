@@ -16,6 +16,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reckoner.operators.filters import more_than
 from reckoner.operators.rank import by_text_key
 from reckoner.operators.sets import union_all
 from reckoner.plans import orders, ratings, reviews
@@ -151,7 +152,7 @@ def word_counts(spark: SparkSession, paths: Paths) -> Outputs:
     counts = stage(reviews.word_frequency(read))
     return {
         "all_words": _semicolon(counts),
-        "frequent_words": _semicolon(reviews.more_than(counts, "total_words", 500)),
+        "frequent_words": _semicolon(more_than(counts, "total_words", 500)),
         "categories": _semicolon(reviews.reviews_by(read, "category")),
         "aspects": _semicolon(reviews.reviews_by(read, "aspect")),
     }

@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reckoner.functions.numbers import ratio
+
 TOTAL = "total"
 VOTES = "votes"
 
@@ -46,12 +48,15 @@ def conditional_means(
     nothing but still produce the key's row. A label with no row gives NULL.
     """
     aggregates: list[Column] = []
+    columns: list[Column] = []
     for label, name in names.items():
         matching = F.when(F.col(group) == label, F.col(value))
-        aggregates.append(F.avg(matching).alias(mean_prefix + name))
+        total, count = F.col(f"__{TOTAL}_{name}"), F.col(f"__{VOTES}_{name}")
+        aggregates += [F.sum(matching).alias(f"__{TOTAL}_{name}"), F.count(matching).alias(f"__{VOTES}_{name}")]
+        columns.append(ratio(total, count).alias(mean_prefix + name))
         if count_prefix is not None:
-            aggregates.append(F.count(matching).alias(count_prefix + name))
-    return df.groupBy(*keys).agg(*aggregates)
+            columns.append(count.alias(count_prefix + name))
+    return df.groupBy(*keys).agg(*aggregates).select(*keys, *columns)
 
 
 def count_of(df: DataFrame, keys: Sequence[str], counted: str, count: str) -> DataFrame:

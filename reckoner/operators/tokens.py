@@ -1,4 +1,4 @@
-"""Words of free text as rows, and their counts."""
+"""Words of free text and items of separated lists as rows."""
 
 from __future__ import annotations
 
@@ -20,8 +20,3 @@ def explode_list(df: DataFrame, column: str, sep: str, item: str) -> DataFrame:
     """Replace a separated list by one row per item, empty items included."""
     rest = [c for c in df.columns if c != column]
     return df.select(*rest, F.explode(split_fields(F.col(column), sep)).alias(item))
-
-
-def word_counts(words: DataFrame, keys: Sequence[str], counted: str, count: str) -> DataFrame:
-    """Occurrences per key, skipping rows whose ``counted`` column is NULL."""
-    return words.groupBy(*keys).agg(F.count(counted).alias(count))

@@ -18,7 +18,7 @@ from reckoner.operators.aggregate import count_of
 from reckoner.operators.enrich import not_listed
 from reckoner.operators.filters import equal_to, more_than
 from reckoner.operators.rank import best_one, best_with_ties, nest_top_k, top_k_per_group
-from reckoner.operators.tokens import explode_words, word_counts
+from reckoner.operators.tokens import explode_words
 
 # The sentiment labels that are reported on.
 POSITIVE = "positive"
@@ -34,7 +34,7 @@ def clean_words(reviews: DataFrame, stop_words: DataFrame) -> DataFrame:
 def word_frequency(reviews: DataFrame) -> DataFrame:
     """Occurrences of every word, stop words included; reviews without id do not count."""
     words = explode_words(reviews, "review", ["id"])
-    return word_counts(words, ["word"], "id", "total_words")
+    return count_of(words, ["word"], "id", "total_words")
 
 
 def frequent_words(reviews: DataFrame, more: int = 500) -> DataFrame:
@@ -74,7 +74,7 @@ def top_of_counts(counts: DataFrame, sentiment: str, ties: bool = True) -> DataF
 
 def _clean_counts(reviews: DataFrame, stop_words: DataFrame, groups: Sequence[str]) -> DataFrame:
     words = explode_words(reviews, "review", groups)
-    return not_listed(word_counts(words, [*groups, "word"], "category", "cnt"), "word", stop_words)
+    return not_listed(count_of(words, [*groups, "word"], "category", "cnt"), "word", stop_words)
 
 
 def top_words(reviews: DataFrame, stop_words: DataFrame, k: int = 5, sentiment: str | None = None) -> DataFrame:

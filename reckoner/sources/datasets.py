@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from reckoner.operators.enrich import one_per_key
 from reckoner.sources.csv import read_declared, read_with_header
-from reckoner.sources.text import Dialect, parse_lines, read_lines
+from reckoner.sources.text import Dialect, first_field, parse_lines, read_lines
 
 # Column order of the input files.
 MOVIES = "movie_id int, title string, genres string"
@@ -60,7 +60,7 @@ def read_reviews(spark: SparkSession, path) -> DataFrame:
 
 def read_stop_words(spark: SparkSession, path) -> DataFrame:
     """The first tab-separated field of every line."""
-    return read_lines(spark, path).select(F.split_part("value", F.lit("\t"), F.lit(1)).alias("word"))
+    return first_field(read_lines(spark, path), "word")
 
 
 def read_orders(spark: SparkSession, path, infer: bool = False) -> DataFrame:

@@ -85,6 +85,11 @@ def parse_lines(
     return split.select(*columns)
 
 
+def first_field(lines: DataFrame, column: str, sep: str = "\t") -> DataFrame:
+    """Only the first field of every line; a line without separator is that field."""
+    return lines.select(F.split_part("value", F.lit(sep), F.lit(1)).alias(column))
+
+
 def parse_declared(lines: DataFrame, schema: str, sep: str = ";") -> DataFrame:
     """Lines to declared columns, leniently and without quoting.
 

@@ -18,6 +18,19 @@ def test_query_equals_sql(spark, con, name):
     assert difference(spark, con, SF, name) in ("", "no rows")
 
 
+@pytest.mark.parametrize(
+    "name",
+    [
+        "q_gender_avg_null", "q_age7_avg", "q_occupation_avg", "q_year_avg", "q_orders_by_country",
+        "q_orders_by_month", "q_review_scores", "report_gender_lines", "report_year_lines",
+    ],
+)
+def test_sorted_query_has_the_order_of_its_sql(spark, con, name):
+    df = __spark_entry__.queries()[name](spark, SF)
+    want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({__spark_entry__.oracle_sql()[name]})").fetchall()
+    assert [tuple(r) for r in df.collect()] == want
+
+
 def test_every_query_has_sql():
     assert set(__spark_entry__.queries()) == set(__spark_entry__.oracle_sql())
 
