@@ -200,12 +200,12 @@ def _orders(spark: SparkSession, paths: Paths) -> DataFrame:
 
 
 def order_totals(spark: SparkSession, paths: Paths) -> Outputs:
-    items = datasets.renamed(read_with_header(spark, paths["items"]), datasets.ITEM_NAMES)
+    items = datasets.renamed(read_with_header(spark, paths["items"], infer=False), datasets.ITEM_NAMES)
     return {"totals": reports.total_lines(orders.order_totals(_orders(spark, paths), items))}
 
 
 def orders_by_country(spark: SparkSession, paths: Paths) -> Outputs:
-    customers = datasets.renamed(read_with_header(spark, paths["customers"]), datasets.CUSTOMER_NAMES)
+    customers = datasets.renamed(read_with_header(spark, paths["customers"], infer=False), datasets.CUSTOMER_NAMES)
     counts = orders.orders_by_country(_orders(spark, paths), customers)
     return {"countries": reports.with_header(_semicolon(counts), reports.COUNTRIES_HEADER)}
 

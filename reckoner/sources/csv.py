@@ -12,8 +12,11 @@ def read_declared(spark: SparkSession, path, schema: StructType | str, sep: str
 
 
 def read_with_header(
-    spark: SparkSession, path, schema: StructType | str | None = None, sep: str = ";"
+    spark: SparkSession, path, schema: StructType | str | None = None, sep: str = ";", infer: bool = True
 ) -> DataFrame:
-    """Header row. Without a schema types are inferred, which reads the file once more."""
+    """Header row. Without a schema types are inferred, which reads the file once more.
+
+    Without either all columns are text, and only the header is read ahead.
+    """
     reader = spark.read.options(header=True, sep=sep)
-    return (reader.schema(schema) if schema else reader.options(inferSchema=True)).csv(path)
+    return (reader.schema(schema) if schema else reader.options(inferSchema=infer)).csv(path)

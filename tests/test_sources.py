@@ -1,3 +1,5 @@
+from datetime import datetime
+
 import pytest
 from conftest import rows
 
@@ -119,16 +121,18 @@ def test_stop_words_are_first_tab_field(spark, tmp_path):
 def test_header_inferred_and_declared(spark, tmp_path):
     head = "Order_ID;Customer_Trx_ID;Order_Status;Order_Purchase_Timestamp;Order_Approved_At;"
     head += "Order_Delivered_Carrier_Date;Order_Delivered_Customer_Date;Order_Estimated_Delivery_Date\n"
-    line = "a1;c1;delivered;2023-10-02 10:56:00;2023-10-02 11:07:00;;2023-10-10 21:25:00;2023-10-18 00:00:00\n"
+    line = "a1;c1;delivered;2023-10-02 10:56;2023-10-02 11:07:00;;2023-10-10 21:25:00;2023-10-18 00:00:00\n"
     path = _file(tmp_path, "orders.csv", head + line)
     declared = datasets.read_orders(spark, path)
     inferred = datasets.read_orders(spark, path, infer=True)
     assert declared.schema.simpleString().startswith("struct<Order_ID:string,Customer_Trx_ID:string")
     assert dict(inferred.dtypes)["Order_Purchase_Timestamp"] == "timestamp"
     assert declared.first().Order_Purchase_Timestamp == inferred.first().Order_Purchase_Timestamp
+    assert declared.first().Order_Purchase_Timestamp == datetime(2023, 10, 2, 10, 56)
     assert declared.first().Order_Delivered_Carrier_Date is None
     number = _file(tmp_path, "n.csv", "a;b\n1;2.5\n")
     assert read_with_header(spark, number).dtypes == [("a", "int"), ("b", "double")]
+    assert read_with_header(spark, number, infer=False).dtypes == [("a", "string"), ("b", "string")]
 
 
 def test_values_are_a_relation_of_known_size(spark):
