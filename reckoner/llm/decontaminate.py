@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from reckoner.llm import bitfilter
 from reckoner.llm.bytewords import ALPHANUMERIC, LOWER, run_hashes, slices, text_column, words_of
-from reckoner.llm.shared import written
+from reckoner.llm.shared import ship, written
 
 WINDOW = 10
 SHINGLE = 3
@@ -125,6 +125,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
     numbers the rows; equal ``doc_id`` are kept apart by it.
     """
     spark = docs.sparkSession
+    ship(spark)
     texts = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
     windows = written(item_windows(items, size), "windows")
     shingles = windows.select(F.explode("shingles").alias("shingle")).distinct()

@@ -3,19 +3,36 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reckoner.llm import decontaminate
+from reckoner.llm import decontaminate, exact_dedup, token_counts
+from reckoner.llm.shared import new_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every call starts a cache of its own, so each distinct text is encoded."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), path, new_folder(spark, "token-cache"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.digest(found)
 
 
+def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("row_id")
+
+
 QUERIES = {
+    "op2_token_counts": op2_token_counts,
     "op4_decontaminate": op4_decontaminate,
+    "op10_exact_dedup": op10_exact_dedup,
 }

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,3 +41,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per session, for functions that run in tasks."""
+    context = spark.sparkContext
+    if getattr(context, "_reckoner_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="reckoner-package-"), "reckoner.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    archive.write(file, os.path.relpath(file, os.path.dirname(package)))
+    context.addPyFile(path)
+    context._reckoner_shipped = True

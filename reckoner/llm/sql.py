@@ -32,3 +32,15 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN covered USING (row_id) LEFT JOIN items USING (row_id)
 """
+
+SQL["op10_exact_dedup"] = r"""
+WITH rows AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
+SELECT doc_id,
+       first_value(doc_id) OVER same AS keep_id,
+       count(*) OVER (PARTITION BY norm) AS group_size,
+       row_number() OVER same = 1 AS kept,
+       sha256(norm) AS text_sha256
+FROM rows
+WINDOW same AS (PARTITION BY norm ORDER BY doc_id NULLS LAST)
+"""
