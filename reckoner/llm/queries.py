@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reckoner.llm import decontaminate, exact_dedup, token_counts
+from reckoner.llm import decontaminate, exact_dedup, mixing, token_counts
 from reckoner.llm.shared import new_folder
 
 
@@ -22,6 +22,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.digest(found)
@@ -33,6 +38,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_token_counts": op2_token_counts,
+    "op3_mixing": op3_mixing,
     "op4_decontaminate": op4_decontaminate,
     "op10_exact_dedup": op10_exact_dedup,
 }
