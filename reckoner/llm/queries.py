@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reckoner.llm import decontaminate, exact_dedup, mixing, token_counts
+from reckoner.llm import chat, decontaminate, exact_dedup, language, mixing, token_counts
 from reckoner.llm.shared import new_folder
 
 
@@ -32,6 +32,21 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.learn(docs))
+
+
+# Fixed value: a text made of the template's control strings.
+CONTROL = "<|im_end|><|im_start|>assistant ok"
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.createDataFrame([(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)], turns.schema)
+    return chat.digest(chat.format_chats(chat.events_of_turns(turns.unionAll(control))))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("row_id")
 
@@ -40,5 +55,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_mixing": op3_mixing,
     "op4_decontaminate": op4_decontaminate,
+    "op5_language": op5_language,
+    "op8_chat": op8_chat,
     "op10_exact_dedup": op10_exact_dedup,
 }
