@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reckoner.llm import chat, decontaminate, exact_dedup, language, mixing, token_counts
+from reckoner.llm import chat, context_tree, decontaminate, exact_dedup, language, mixing, token_counts
 from reckoner.llm.shared import new_folder
 
 
@@ -47,6 +47,10 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_chats(chat.events_of_turns(turns.unionAll(control))))
 
 
+def op9_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("row_id")
 
@@ -57,5 +61,6 @@ QUERIES = {
     "op4_decontaminate": op4_decontaminate,
     "op5_language": op5_language,
     "op8_chat": op8_chat,
+    "op9_context_tree": op9_context_tree,
     "op10_exact_dedup": op10_exact_dedup,
 }
