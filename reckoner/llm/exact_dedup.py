@@ -89,7 +89,8 @@ def build_index(docs: DataFrame, rows: DataFrame, capacity: int, key) -> DataFra
 
     repeated = keys.filter(F.col("rows") > 1).select("key")
     texts = docs.select(normalised(F.col("text")).alias("norm")).withColumn("key", key(F.col("norm")))
-    texts = texts.join(repeated, "key", "left_semi").groupBy("key", "norm").agg(F.count("*").alias("rows"))
+    # Grouped by the text alone, so that the join on keys may be split and copies are summed before they meet.
+    texts = texts.join(repeated, "key", "left_semi").groupBy("norm").agg(F.min("key").alias("key"), F.count("*").alias("rows"))
     texts = texts.select("key", F.sha2(F.col("norm").cast("binary"), 256).alias("digest"), "rows")
     compared = texts.groupBy("key", "digest").agg(F.sum("rows").alias("rows"), F.count("*").alias("texts"))
 

@@ -112,4 +112,5 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache: str) -> DataFrame:
     new.groupBy("digest").agg(F.min("n_tokens").alias("n_tokens")).write.mode("append").parquet(
         f"{cache}/version={version}"
     )
-    return keyed.join(cached(spark, cache, version), "digest").select("doc_id", "n_bytes", "n_tokens")
+    counts = written(cached(spark, cache, version), "counts")
+    return keyed.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens")
