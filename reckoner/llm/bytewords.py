@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 2 << 20
+SLICE_DOCS = 1 << 15
 U64 = np.uint64
 _BASE = U64(0x9E3779B97F4A7C15)
 _UNBASE = U64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -55,7 +56,7 @@ def slices(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np
     first, n = 0, len(offsets) - 1
     while first < n:
         end = int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, "right")) - 1
-        end = min(max(end, first + 1), n)
+        end = min(max(end, first + 1), first + SLICE_DOCS, n)
         yield first, end, data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first]
         first = end
 

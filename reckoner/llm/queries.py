@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reckoner.llm import chat, context_tree, decontaminate, exact_dedup, language, mixing, token_counts
+from reckoner.llm import chat, context_tree, decontaminate, exact_dedup, language, minhash, mixing, token_counts
 from reckoner.llm.shared import new_folder
 
 
@@ -13,6 +13,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_classes(table(spark, sf_dir, "documents")).drop("row_id", "text_key")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every call starts a cache of its own, so each distinct text is encoded."""
     import public_tokenizers
@@ -56,6 +60,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash": op1_minhash,
     "op2_token_counts": op2_token_counts,
     "op3_mixing": op3_mixing,
     "op4_decontaminate": op4_decontaminate,

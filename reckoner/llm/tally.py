@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 
 PACKED = "bucket int, keys binary, counts binary"
 NAMES = ["bucket", "keys", "counts"]
-COMPACT_AT, EMIT_AT = 3_000_000, 6_000_000
+COMPACT_AT, EMIT_AT = 1_500_000, 3_000_000
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
