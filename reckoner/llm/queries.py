@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reckoner.llm import chat, context_tree, decontaminate, exact_dedup, language, minhash, mixing, token_counts
+from reckoner.llm import chat, context_tree, decontaminate, exact_dedup, language, minhash, mixing, quality, token_counts
 from reckoner.llm.shared import new_folder
 
 
@@ -41,6 +41,11 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.learn(docs))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.learn(docs, table(spark, sf_dir, "labels")), 0.3)
+
+
 # Fixed value: a text made of the template's control strings.
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
@@ -65,6 +70,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_decontaminate": op4_decontaminate,
     "op5_language": op5_language,
+    "op6_quality": op6_quality,
     "op8_chat": op8_chat,
     "op9_context_tree": op9_context_tree,
     "op10_exact_dedup": op10_exact_dedup,
