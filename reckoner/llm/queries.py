@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reckoner.llm import chat, context_tree, decontaminate, exact_dedup, language, minhash, mixing, quality, token_counts
+from reckoner.llm import chat, context_tree, decontaminate, exact_dedup, language, minhash, mixing, quality, token_counts, toxicity
 from reckoner.llm.shared import new_folder
 
 
@@ -46,6 +46,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.learn(docs, table(spark, sf_dir, "labels")), 0.3)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")), 0.5)
+
+
 # Fixed value: a text made of the template's control strings.
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
@@ -71,6 +76,7 @@ QUERIES = {
     "op4_decontaminate": op4_decontaminate,
     "op5_language": op5_language,
     "op6_quality": op6_quality,
+    "op7_toxicity": op7_toxicity,
     "op8_chat": op8_chat,
     "op9_context_tree": op9_context_tree,
     "op10_exact_dedup": op10_exact_dedup,
