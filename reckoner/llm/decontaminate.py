@@ -40,7 +40,7 @@ SHINGLE = 3
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 WINDOWS = "item_id long, words array<binary>, shingles array<long>"
-PLACES = "row_text_id long, n_words long, places array<struct<shingle:long,place:int,left:int,words:array<binary>>>"
+PLACES = "text_key long, n_words long, places array<struct<shingle:long,place:int,left:int,words:array<binary>>>"
 
 
 def _hashes_of(words: list[bytes]) -> np.ndarray:
@@ -100,7 +100,7 @@ def _places(batches: Iterator[pa.RecordBatch], table, sizes, reach: int) -> Iter
         pa.struct([("shingle", pa.int64()), ("place", pa.int32()), ("left", pa.int32()), ("words", pa.list_(pa.binary()))])
     )
     for batch in batches:
-        data, offsets = text_column(batch.column(1))
+        data, offsets = text_column(batch.column(2))
         numbers, places = np.zeros(len(batch), np.int64), [[] for _ in range(len(batch))]
         for first, end, part, own in slices(data, offsets):
             words = words_of(LOWER[part], own, ALPHANUMERIC)
@@ -114,15 +114,17 @@ def _places(batches: Iterator[pa.RecordBatch], table, sizes, reach: int) -> Iter
                     around = [text[words.start[j] : words.end[j]] for j in range(low, high)]
                     places[first + doc].append({"shingle": h, "place": i - start, "left": i - low, "words": around})
         yield pa.record_batch(
-            [batch.column(0), pa.array(numbers), pa.array(places, kind)], names=["row_text_id", "n_words", "places"]
+            [batch.column(0), batch.column(1), pa.array(numbers), pa.array(places, kind)],
+            names=["doc_id", "text_key", "n_words", "places"],
         )
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """Per row of ``docs``: words, hit words, and the items of which a window occurs.
 
-    Columns: row_id, doc_id, n_words, n_hit, items (sorted as text). ``row_id``
-    numbers the rows; equal ``doc_id`` are kept apart by it.
+    Columns: row_id, doc_id, text_key, n_words, n_hit, items (sorted as text).
+    ``row_id`` numbers the rows; equal ``doc_id`` are kept apart by it.
+    ``text_key`` is a hash of the text, to find the row again.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -146,8 +148,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
 
     needed = prefixes.select("shingle").distinct()
     rare = spark.sparkContext.broadcast(bitfilter.build(needed, "shingle", bits))
-    found = texts.select("doc_id", "text").mapInArrow(
-        lambda b: _places(b, rare, sizes, size), PLACES.replace("row_text_id long", f"row_text_id {docs.schema['doc_id'].dataType.simpleString()}")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    found = texts.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(
+        lambda b: _places(b, rare, sizes, size), f"doc_id {kind}, {PLACES}"
     )
     found = written(found.withColumn("row_id", F.monotonically_increasing_id()), "places")
 
@@ -165,10 +168,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
     of_row = hits.select("row_id", F.explode("items").alias("item")).distinct()
     of_row = of_row.groupBy("row_id").agg(F.sort_array(F.collect_list(F.col("item").cast("string"))).alias("items"))
     return (
-        found.select("row_id", F.col("row_text_id").alias("doc_id"), "n_words")
+        found.select("row_id", "doc_id", "text_key", "n_words")
         .join(n_hit.join(of_row, "row_id", "left"), "row_id", "left")
         .select(
-            "row_id", "doc_id", "n_words",
+            "row_id", "doc_id", "text_key", "n_words",
             F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
             F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         )

@@ -108,22 +108,22 @@ def build_index(docs: DataFrame, rows: DataFrame, capacity: int, key) -> DataFra
 
 
 def exact_dedup(docs: DataFrame, capacity: int = CAPACITY, key=hash_key) -> DataFrame:
-    """Per row of ``docs``: row_id, doc_id, keep_id, group_size, kept, text_sha256.
+    """Per row of ``docs``: row_id, doc_id, text_key, keep_id, group_size, kept, text_sha256.
 
-    ``row_id`` numbers the rows of this result. ``key`` hashes a normalised
-    text to a long.
+    ``row_id`` numbers the rows of this result, ``text_key`` is a hash of the
+    text, to find the row again. ``key`` hashes a normalised text to a long.
     """
     norm = normalised(F.col("text"))
-    rows = docs.select("doc_id", norm.alias("norm")).select(
-        "doc_id", key(F.col("norm")).alias("key"), F.sha2(F.col("norm").cast("binary"), 256).alias("digest")
+    rows = docs.select("doc_id", F.xxhash64(F.col("text").cast("string")).alias("text_key"), norm.alias("norm")).select(
+        "doc_id", "text_key", key(F.col("norm")).alias("key"), F.sha2(F.col("norm").cast("binary"), 256).alias("digest")
     )
     rows = written(rows.withColumn("row_id", F.monotonically_increasing_id()), "rows")
     index = build_index(docs, rows, capacity, key)
     found = rows.join(index.select("key", "chain"), "key").select(
-        "row_id", "doc_id", "digest", F.get(F.filter("chain", lambda e: e["digest"] == F.col("digest")), F.lit(0)).alias("e")
+        "row_id", "doc_id", "text_key", "digest", F.get(F.filter("chain", lambda e: e["digest"] == F.col("digest")), F.lit(0)).alias("e")
     )
     return found.select(
-        "row_id", "doc_id",
+        "row_id", "doc_id", "text_key",
         F.col("e.keeper.doc_id").alias("keep_id"),
         F.col("e.size").alias("group_size"),
         (F.col("e.keeper.row_id") == F.col("row_id")).alias("kept"),

@@ -160,34 +160,38 @@ def _has_letter(column, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return found
 
 
-def _predict(batches: Iterator[pa.RecordBatch], filters) -> Iterator[pa.RecordBatch]:
-    known: Filters = filters.value
-    for batch in batches:
-        column = _lower(batch.column(1))
-        data, offsets = text_column(column)
-        letters = _has_letter(column, data, offsets)
-        best, score = np.zeros(len(batch), np.int64), np.zeros(len(batch))
-        if known.languages:
-            for first, end, part, own in slices(data, offsets):
-                n, held = known.counts(part, own)
-                best[first:end] = held.argmax(1)
-                score[first:end] = (held.max(1) / n.clip(1)).clip(0, 1)
-        names = pa.array([*known.languages, "und"], pa.string())
-        best = np.where(letters & (len(known.languages) > 0), best, len(known.languages))
-        score = np.where(best < len(known.languages), score, 0.0)
-        rest = [batch.column(i) for i in range(2, batch.num_columns)]
-        yield pa.record_batch(
-            [batch.column(0), names.take(pa.array(best)), pa.array(score), *rest],
-            names=[batch.schema.names[0], "lang_pred", "score", *batch.schema.names[2:]],
-        )
+def _judge(column, known: Filters) -> tuple[pa.Array, np.ndarray]:
+    """Predicted languages and scores of a column of texts."""
+    column = _lower(column)
+    data, offsets = text_column(column)
+    letters = _has_letter(column, data, offsets)
+    best, score = np.zeros(len(column), np.int64), np.zeros(len(column))
+    if known.languages:
+        for first, end, part, own in slices(data, offsets):
+            n, held = known.counts(part, own)
+            best[first:end] = held.argmax(1)
+            score[first:end] = (held.max(1) / n.clip(1)).clip(0, 1)
+    names = pa.array([*known.languages, "und"], pa.string())
+    best = np.where(letters & (len(known.languages) > 0), best, len(known.languages))
+    return names.take(pa.array(best)), np.where(best < len(known.languages), score, 0.0)
+
+
+def prediction(docs: DataFrame, filters: Filters):
+    """A function from a text column to (lang_pred, score)."""
+    spark = docs.sparkSession
+    ship(spark)
+    shared = spark.sparkContext.broadcast(filters)
+
+    @F.arrow_udf("struct<lang_pred:string,score:double>")
+    def judged(texts: pa.Array) -> pa.Array:
+        names, scores = _judge(texts, shared.value)
+        return pa.StructArray.from_arrays([names, pa.array(scores)], ["lang_pred", "score"])
+
+    return judged
 
 
 def identify(docs: DataFrame, filters: Filters) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, lang_pred, score."""
-    spark = docs.sparkSession
-    ship(spark)
-    shared = spark.sparkContext.broadcast(filters)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    out = rows.mapInArrow(lambda b: _predict(b, shared), f"doc_id {kind}, lang_pred string, score double")
-    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+    judged = prediction(docs, filters)(F.col("text").cast("string"))
+    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), judged.alias("judged"))
+    return rows.select("doc_id", "held_out", "judged.lang_pred", "judged.score")

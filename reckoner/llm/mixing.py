@@ -44,10 +44,13 @@ ITEM = "struct<h:bigint,item:bigint,w:double,p:double>"
 STATE = f"struct<rest:{ITEM},out:array<struct<item:bigint,extra:int>>>"
 
 
+def size_of(text: Column) -> Column:
+    return F.regexp_count(F.coalesce(text.cast("string"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+
+
 def sizes(docs: DataFrame) -> DataFrame:
     """Distinct (source, doc_id, size) with their number of rows."""
-    size = F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"))
-    rows = docs.select(F.col("source").cast("string").alias("source"), "doc_id", size.cast("long").alias("size"))
+    rows = docs.select(F.col("source").cast("string").alias("source"), "doc_id", size_of(F.col("text")).alias("size"))
     grouped = rows.groupBy("source", "doc_id", "size").agg(F.count("*").alias("rows"))
     return written(grouped.withColumn("item", F.monotonically_increasing_id()), "sizes")
 
@@ -140,18 +143,18 @@ def rounded(fractions: DataFrame, widest: int) -> DataFrame:
     return out.unionAll(last)
 
 
-def mix(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, source, size, source_size, target, copies, taken."""
+def dealt(docs: DataFrame) -> DataFrame:
+    """Per item (source, doc_id, size): its rows, certain copies, and how many rows get one more."""
     items = sizes(docs)
     shares = written(targets(items), "targets")
     joined = items.join(shares.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    joined = joined.withColumn("rate", rate).withColumn("base", F.floor("rate").cast("int"))
-    spread = F.col("rows") * (F.col("rate") - F.col("base"))
-    joined = joined.withColumn("more", F.floor(spread)).withColumn("p", spread - F.col("more"))
-    joined = written(joined, "rates")
+    joined = joined.withColumn("rate", rate).withColumn("base", F.when(F.col("size") > 0, F.floor("rate")).otherwise(0).cast("int"))
+    spread = F.when(F.col("size") > 0, F.col("rows") * (F.col("rate") - F.col("base"))).otherwise(0.0)
+    joined = joined.withColumn("spread", spread).withColumn("more", F.floor("spread"))
+    joined = written(joined.withColumn("p", F.col("spread") - F.col("more")).drop("spread", "rate"), "rates")
 
-    open_items = joined.filter((F.col("size") > 0) & (F.col("p") > 0))
+    open_items = joined.filter(F.col("p") > 0)
     counts = written(open_items.groupBy("source").agg(F.count("*").alias("n")), "counts")
     widest = counts.agg(F.max("n")).first()[0] or 0
     h = F.xxhash64(F.lit(SEED), "doc_id", "size")
@@ -160,10 +163,29 @@ def mix(docs: DataFrame) -> DataFrame:
         "source", leaf.alias("bucket"), h.alias("h"), "item", F.col("size").cast("double").alias("w"), "p"
     )
     extra = rounded(fractions, widest)
-    dealt = joined.join(extra, "item", "left").withColumn("more", F.col("more") + F.coalesce("extra", F.lit(0)))
-    rows = dealt.withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("rows"))))
+    out = joined.join(extra, "item", "left").withColumn("more", F.col("more") + F.coalesce("extra", F.lit(0)))
+    return out.select("item", "source", "doc_id", "size", "source_size", "target", "rows", "base", "more")
+
+
+def mix(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: doc_id, source, size, source_size, target, copies, taken."""
+    rows = dealt(docs).withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("rows"))))
     copies = F.col("base") + (F.col("nth") <= F.col("more")).cast("int")
-    return rows.select(
-        "doc_id", "source", "size", "source_size", "target",
-        F.when(F.col("size") > 0, copies).otherwise(0).cast("int").alias("copies"),
-    ).withColumn("taken", F.col("copies") * F.col("size"))
+    return rows.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies")).withColumn(
+        "taken", F.col("copies") * F.col("size")
+    )
+
+
+def copies_of_rows(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, with ``copies``."""
+    items = written(dealt(docs).select("source", "doc_id", "size", "rows", "base", "more"), "dealt")
+    items = items.filter((F.col("base") > 0) | (F.col("more") > 0)).select(*[F.col(c).alias(f"_{c}") for c in items.columns])
+    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").cast("string").eqNullSafe(F.col("_source"))
+    joined = docs.withColumn("_words", size_of(F.col("text"))).join(items, same & (F.col("_words") == F.col("_size")))
+    single = joined.filter("_rows = 1").withColumn("copies", (F.col("_base") + F.col("_more")).cast("int"))
+    out = single.select(*docs.columns, "copies")
+    if not items.filter("_rows > 1").isEmpty():
+        nth = F.row_number().over(Window.partitionBy("_doc_id", "_source", "_size").orderBy(F.xxhash64("text")))
+        several = joined.filter("_rows > 1").withColumn("copies", (F.col("_base") + (nth <= F.col("_more")).cast("int")).cast("int"))
+        out = out.unionByName(several.select(*docs.columns, "copies"))
+    return out.filter("copies > 0")

@@ -66,7 +66,7 @@ def op9_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("row_id")
+    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("row_id", "text_key")
 
 
 QUERIES = {
