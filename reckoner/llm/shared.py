@@ -18,12 +18,12 @@ def shared_folder(spark: SparkSession) -> str:
     Only a session on one machine may leave it unset; it then gets a temporary
     folder, which the session keeps.
     """
-    folder = spark.conf.get(SETTING, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(SETTING, None) or getattr(context, "_reckoner_folder", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local["):
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise ValueError(f"set {SETTING} to a folder that all executors share")
-        folder = f"file://{tempfile.mkdtemp(prefix='reckoner-shared-')}"
-        spark.conf.set(SETTING, folder)
+        folder = context._reckoner_folder = f"file://{tempfile.mkdtemp(prefix='reckoner-shared-')}"
     return folder.rstrip("/")
 
 
