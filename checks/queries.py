@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from checks.star import Star
 from reckoner.functions.buckets import FOUR_AGES, SEVEN_AGES, bucket
 from reckoner.functions.numbers import fixed2_binary, fixed2_half_up
-from reckoner.operators.enrich import lookup
+from reckoner.operators.enrich import lookup, one_per_key
+from reckoner.operators.filters import parsed_only
 from reckoner.operators.rank import by_text_key
 from reckoner.operators.sets import union_all
 from reckoner.operators.tokens import explode_list
@@ -41,7 +42,13 @@ def movie_avg_inner(s: Star) -> DataFrame:
 
 
 def best_movie(s: Star) -> DataFrame:
-    return ratings.best_movie(movie_avg_outer(s), MIN_SUPPORT)
+    return ratings.best_movie(movie_avg_outer(s), MIN_SUPPORT, positive_only=True)
+
+
+def best_movie_of_zeros(s: Star) -> DataFrame:
+    """All ratings are 0: a movie still wins where means of 0 count."""
+    zeros = s.ratings().withColumn("rating", F.col("rating") * 0)
+    return ratings.best_movie(ratings.movie_means_keep_unknown(zeros, s.movies()), MIN_SUPPORT)
 
 
 def genre_avg(s: Star) -> DataFrame:
@@ -104,6 +111,28 @@ def scan_trimmed_drop_short(s: Star) -> DataFrame:
     )
 
 
+def scan_needed_fields_only(s: Star) -> DataFrame:
+    """Customers in debt lack the last field, and all have a bad number in the second; neither is read."""
+    segment = F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment"))
+    lines = s.table("customer").select(F.concat_ws(",", "c_custkey", F.lit("n/a"), "c_name", segment).alias("value"))
+    schema = "c_custkey bigint, number int, c_name string, c_mktsegment string"
+    return parse_lines(lines, schema, Dialect(), columns=["c_custkey", "c_name"])
+
+
+def scan_text_ids(s: Star) -> DataFrame:
+    """Ids that are no numbers, and ids beyond 32 bits as numbers."""
+    big = F.col("c_custkey") + 3_000_000_000
+    lines = s.table("customer").select(F.concat_ws(", ", F.concat(F.lit("M"), "c_custkey"), big, "c_name").alias("value"))
+    return parse_lines(lines, "id string, number bigint, c_name string", Dialect(trim=True))
+
+
+def dim_parsed_then_one_per_key(s: Star) -> DataFrame:
+    """Every user twice, once with an age that is no number."""
+    users = s.all_users().select("user_id", F.col("age").cast("string").alias("age"))
+    bad = users.withColumn("age", F.lit("n/a"))
+    return one_per_key(parsed_only(users.unionAll(bad), "age", "int"), "user_id")
+
+
 def scan_short_row_null(s: Star) -> DataFrame:
     segment = F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment"))
     lines = s.table("customer").select(F.concat_ws(",", "c_custkey", "c_name", segment).alias("value"))
@@ -182,6 +211,7 @@ _BUILDERS: dict[str, Callable[[Star], DataFrame]] = {
     "q_movie_avg_outer": movie_avg_outer,
     "q_movie_avg_inner": movie_avg_inner,
     "q_best_movie": best_movie,
+    "q_best_movie_of_zeros": best_movie_of_zeros,
     "q_genre_avg": genre_avg,
     "q_gender_avg_zero": gender_avg_zero,
     "q_gender_avg_null": gender_avg_null,
@@ -233,6 +263,9 @@ _BUILDERS: dict[str, Callable[[Star], DataFrame]] = {
     "report_winner_line": lambda s: reports.winner_line(
         ratings.best_movie(movie_avg_inner(s), MIN_SUPPORT), MIN_SUPPORT
     ),
+    "report_no_winner_line": lambda s: reports.winner_line(ratings.best_movie(movie_avg_inner(s), 10**9), 10**9),
+    "report_country_table": lambda s: reports.country_table(orders.orders_by_country(s.orders(), s.customers())),
+    "report_month_table": lambda s: reports.month_table(orders.orders_by_month(s.orders())),
     "report_genre_lines": lambda s: reports.genre_lines(genre_avg(s)),
     "report_gender_lines": lambda s: reports.gender_lines(gender_avg_null(s)),
     "report_age7_lines": lambda s: reports.age7_lines(age7_avg(s)),
@@ -241,6 +274,9 @@ _BUILDERS: dict[str, Callable[[Star], DataFrame]] = {
     "report_total_lines": lambda s: reports.total_lines(orders.order_totals(s.orders(), s.items())),
     # Operators on their own
     "scan_trimmed_drop_short": scan_trimmed_drop_short,
+    "scan_needed_fields_only": scan_needed_fields_only,
+    "scan_text_ids": scan_text_ids,
+    "dim_parsed_then_one_per_key": dim_parsed_then_one_per_key,
     "scan_short_row_null": scan_short_row_null,
     "scan_bounded_last_field": scan_bounded_last_field,
     "scan_first_field": scan_first_field,

@@ -8,14 +8,16 @@ from checks.star import STOP_WORDS
 _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
 
 _MOVIES = """movies AS (
-    SELECT p_partkey AS movie_id, p_name AS title, p_type || '|' || p_brand AS genres
-    FROM part WHERE p_size <= 40)"""
+    SELECT CASE WHEN p_size > 40 THEN -1 - p_partkey ELSE p_partkey END AS movie_id, p_name AS title,
+           p_type || '|' || p_brand AS genres
+    FROM part)"""
 _ALL_USERS = """all_users AS (
     SELECT o_orderkey AS user_id, o_orderpriority,
            CASE o_orderstatus WHEN 'F' THEN 'F' WHEN 'O' THEN 'M' ELSE 'other' END AS gender,
            o_custkey % 80 AS age
     FROM orders)"""
-_USERS = _ALL_USERS + """, users AS (SELECT * FROM all_users WHERE o_orderpriority <> '5-LOW')"""
+_USERS = _ALL_USERS + """, users AS (
+    SELECT * REPLACE (CASE o_orderpriority WHEN '5-LOW' THEN -1 - user_id ELSE user_id END AS user_id) FROM all_users)"""
 _REVIEWS = """reviews AS (
     SELECT d.doc_id AS id, d.text AS review, d.lang AS category, d.source AS aspect,
            CASE l.quality WHEN 1 THEN 'positive' WHEN 0 THEN 'negative' ELSE 'neutral' END AS sentiment
@@ -90,7 +92,7 @@ _OCCUPATION = """occupation_avg AS (
     SELECT coalesce(n.n_name, 'Unknown') AS occupation, avg(l.l_quantity) AS avg_rating, count(*) AS n_ratings
     FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
     LEFT JOIN customer c ON o.o_custkey = c.c_custkey
-    LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey AND n.n_regionkey <> 4
+    LEFT JOIN nation n ON c.c_nationkey = CASE n.n_regionkey WHEN 4 THEN -1 - n.n_nationkey ELSE n.n_nationkey END
     GROUP BY 1)"""
 _YEAR = """year_avg AS (
     SELECT CAST(year(l_shipdate) AS INTEGER) AS year, avg(l_quantity) AS avg_rating, count(*) AS n_ratings
@@ -116,9 +118,9 @@ _SEGMENTS = """segments AS (
           FROM orders GROUP BY o_custkey))"""
 
 
-def _best(means: str, support: int) -> str:
+def _best(means: str, support: int, positive: str = "AND avg_rating > 0 ") -> str:
     return (
-        f"best AS (SELECT * FROM {means} WHERE n_ratings >= {support} AND avg_rating > 0 "
+        f"best AS (SELECT * FROM {means} WHERE n_ratings >= {support} {positive}"
         "ORDER BY avg_rating DESC, CAST(movie_id AS VARCHAR) LIMIT 1)"
     )
 
@@ -160,6 +162,20 @@ def _age7_text(label: str, name: str) -> str:
     return f"'{label}: ' || format('{{:<15}}', {value})"
 
 
+def _table(counts: str, names: list[str]) -> str:
+    """A bordered table: top, header, bar, one line per row, bottom."""
+    columns = "abc"[: len(names)]
+    widths = [f"greatest({len(n)}, max(length(CAST({c} AS VARCHAR))))" for n, c in zip(names, columns)]
+    bars = "'+' || " + " || '+' || ".join(f"repeat('-', w.{c})" for c in columns) + " || '+'"
+    line = lambda texts: "'|' || " + " || '|' || ".join(f"rpad({t}, w.{c}, ' ')" for t, c in zip(texts, columns)) + " || '|'"
+    head, body = line([f"'{n}'" for n in names]), line([f"CAST(t.{c} AS VARCHAR)" for c in columns])
+    return (
+        f"WITH t AS ({counts}), w AS (SELECT {', '.join(f'CAST({x} AS INTEGER) AS {c}' for x, c in zip(widths, columns))} FROM t) "
+        f"SELECT {bars} AS line FROM w UNION ALL SELECT {head} FROM w UNION ALL SELECT {bars} FROM w "
+        f"UNION ALL SELECT {body} FROM t, w UNION ALL SELECT {bars} FROM w"
+    )
+
+
 _ORDER_COLUMNS = {
     "o_orderkey": "bigint",
     "o_custkey": "bigint",
@@ -174,6 +190,12 @@ SQL: dict[str, str] = {
     "q_movie_avg_outer": _with(_MOVIES, _MOVIE_OUTER) + "SELECT * FROM movie_outer",
     "q_movie_avg_inner": _with(_MOVIES, _MOVIE_INNER) + "SELECT * FROM movie_inner",
     "q_best_movie": _with(_MOVIES, _MOVIE_OUTER, _best("movie_outer", MIN_SUPPORT)) + "SELECT * FROM best",
+    "q_best_movie_of_zeros": _with(
+        _MOVIES,
+        _MOVIE_OUTER.replace("avg(l_quantity)", "avg(l_quantity * 0)"),
+        _best("movie_outer", MIN_SUPPORT, ""),
+    )
+    + "SELECT * FROM best",
     "q_genre_avg": _with(_MOVIES, _GENRES) + "SELECT * FROM genre_avg",
     "q_gender_avg_zero": _with(_MOVIES, _ALL_USERS, _GENDER_ZERO) + "SELECT * FROM gender_zero",
     "q_gender_avg_null": _with(_MOVIES, _USERS, _GENDER_NULL) + "SELECT * FROM gender_null ORDER BY movie_id",
@@ -267,9 +289,19 @@ SQL: dict[str, str] = {
     "report_movie_lines": _with(_MOVIES, _MOVIE_INNER)
     + """SELECT printf('MovieID: %d | Title: %s | AvgRating: %.2f | Count: %d', movie_id, title, avg_rating, n_ratings)
              AS line FROM movie_inner""",
-    "report_winner_line": _with(_MOVIES, _MOVIE_INNER, _best("movie_inner", MIN_SUPPORT))
+    "report_winner_line": _with(_MOVIES, _MOVIE_INNER, _best("movie_inner", MIN_SUPPORT, ""))
     + """SELECT 'WINNER -> Title: ''' || title || printf(''' | Điểm: %.2f', avg_rating)
              || ' | Lượt đánh giá: ' || n_ratings AS line FROM best""",
+    "report_no_winner_line": f"SELECT 'Không có phim nào đạt điều kiện >= {10**9} lượt đánh giá.' AS line",
+    "report_country_table": _table(
+        "SELECT n_name AS a, count(*) AS b FROM orders JOIN customer ON o_custkey = c_custkey "
+        "JOIN nation ON c_nationkey = n_nationkey GROUP BY 1",
+        ["Customer_Country", "count"],
+    ),
+    "report_month_table": _table(
+        "SELECT year(o_orderdate) AS a, month(o_orderdate) AS b, count(*) AS c FROM orders GROUP BY 1, 2",
+        ["Year", "Month", "count"],
+    ),
     "report_genre_lines": _with(_MOVIES, _GENRES)
     + """SELECT format('Genre: {:<15} | AvgRating: {:.2f} | Total Ratings: {}', genre, avg_rating, n_ratings) AS line
          FROM genre_avg""",
@@ -293,6 +325,10 @@ SQL: dict[str, str] = {
                             ELSE 'Tổng số người bán' END || ': ' || total AS line FROM totals""",
     # Operators on their own
     "scan_trimmed_drop_short": "SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_acctbal >= 0",
+    "scan_needed_fields_only": "SELECT c_custkey, c_name FROM customer",
+    "scan_text_ids": "SELECT 'M' || c_custkey AS id, c_custkey + 3000000000 AS number, c_name FROM customer",
+    "dim_parsed_then_one_per_key": """
+        SELECT o_orderkey AS user_id, CAST(o_custkey % 80 AS INTEGER) AS age FROM orders""",
     "scan_short_row_null": """
         SELECT c_custkey, c_name, CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS c_mktsegment FROM customer""",
     "scan_bounded_last_field": "SELECT doc_id, lang, text FROM documents",

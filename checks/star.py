@@ -1,13 +1,13 @@
 """The given tables, seen as ratings, reviews and orders.
 
 Ratings are line items: the order is the user, the part the movie and the
-quantity the rating. Attributes that make some keys unmatched (parts above
-size 40, nations of region 4, orders of priority 5) exercise the defaults.
+quantity the rating. Some dimension rows get another key, so that their facts
+find nothing (parts above size 40, nations of region 4, orders of priority 5).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reckoner.sources.memory import from_values
@@ -16,6 +16,11 @@ from reckoner.sources.memory import from_values
 STOP_WORDS = ["the", "and", "of", "is", "de", "la", "le", "un", "und", "die", "el", "en", "the", "of the"]
 
 
+def shifted(key: str, condition: Column) -> Column:
+    """The key, or where the condition holds one that no fact has."""
+    return F.when(condition, -1 - F.col(key)).otherwise(F.col(key))
+
+
 class Star:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -64,8 +69,8 @@ class Star:
         )
 
     def movies(self) -> DataFrame:
-        """Parts up to size 40, so that some rated movies are unknown."""
-        return self.all_movies().filter(F.col("p_size") <= 40)
+        """All parts, those above size 40 under other keys, so that some rated movies are unknown."""
+        return self.all_movies().withColumn("movie_id", shifted("movie_id", F.col("p_size") > 40))
 
     def all_users(self) -> DataFrame:
         status = F.col("o_orderstatus")
@@ -77,8 +82,8 @@ class Star:
         )
 
     def users(self) -> DataFrame:
-        """Without orders of priority 5, so that some raters are unknown."""
-        return self.all_users().filter(F.col("o_orderpriority") != "5-LOW")
+        """All orders, those of priority 5 under other keys, so that some raters are unknown."""
+        return self.all_users().withColumn("user_id", shifted("user_id", F.col("o_orderpriority") == "5-LOW"))
 
     def users_text_age(self) -> DataFrame:
         """Ages as text, not numeric for orders of priority 4."""
@@ -91,12 +96,9 @@ class Star:
         )
 
     def occupations(self) -> DataFrame:
-        """Nations outside region 4, so that some occupation ids are unknown."""
-        return (
-            self.table("nation")
-            .filter(F.col("n_regionkey") != 4)
-            .select(F.col("n_nationkey").alias("occupation_id"), F.col("n_name").alias("occupation"))
-        )
+        """All nations, those of region 4 under other keys, so that some occupation ids are unknown."""
+        key = shifted("n_nationkey", F.col("n_regionkey") == 4)
+        return self.table("nation").select(key.alias("occupation_id"), F.col("n_name").alias("occupation"))
 
     # Reviews
 

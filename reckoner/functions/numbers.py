@@ -35,12 +35,20 @@ def fixed2_binary(x: Column) -> Column:
 
     3.775 is stored slightly below its decimal text, 4.125 exactly. Only when
     the product with 100 falls on a half can its rounding hide on which side
-    the exact value lies. Both halves of ``x`` times 100 are exact, so the
-    error of the product is too. Meant for ``abs(x) < 2**40``.
+    the exact value lies. The whole part is split off, which is exact, so only
+    a fraction is multiplied; both its halves times 100 are exact, and so is
+    the error of the product. From 2**63 on, where no double has a fraction,
+    and for NaN the platform's text is taken.
     """
-    product = x * 100.0
-    high = x.cast("float").cast("double")
-    error = (high * 100.0 - product) + (x - high) * 100.0
+    size = F.abs(x)
+    whole = F.floor(size)
+    part = size - whole.cast("double")
+    product = part * 100.0
+    high = part.cast("float").cast("double")
+    error = (high * 100.0 - product) + (part - high) * 100.0
     hidden = (product - F.floor(product) == 0.5) & (error != 0.0)
-    cents = F.when(hidden, F.floor(product) + F.when(error > 0.0, 1).otherwise(0)).otherwise(F.rint(product))
-    return F.when(x.isNotNull(), F.format_string("%.2f", cents / 100.0))
+    cents = F.when(hidden, F.floor(product) + F.when(error > 0.0, 1).otherwise(0)).otherwise(F.rint(product)).cast("bigint")
+    below = (x < 0) | ((x == 0) & x.cast("string").startswith("-"))  # -0.0 has a sign, too
+    sign = F.when(below, "-").otherwise("")
+    text = F.format_string("%s%d.%02d", sign, whole + F.when(cents == 100, 1).otherwise(0), cents % 100)
+    return F.when(x.isNotNull(), F.when(size < 2.0**63, text).otherwise(F.format_string("%.2f", x)))

@@ -30,8 +30,10 @@ def split_fields(col: Column, sep: str, max_fields: int | None = None) -> Column
 
 
 def drop_trailing_empty(col: Column, sep: str) -> Column:
-    """Remove separators at the end of the text, and so trailing empty fields."""
-    return F.regexp_replace(col, f"(?:{literal_pattern(sep)})+$", "")
+    """Remove separators, of one character, at the end of the text, and so trailing empty fields."""
+    if len(sep) != 1:
+        raise ValueError(f"a separator of one character is needed, not {sep!r}")
+    return F.rtrim(col, F.lit(sep))
 
 
 def lower_words(col: Column) -> Column:

@@ -44,7 +44,8 @@ def lookup(
     Without ``defaults`` facts with no match are dropped. With it they are kept
     and the named columns get their default. ``salts`` > 1 spreads each key of
     the fact over that many join keys and repeats the dimension as often. The
-    salt is a hash of the row, so a task that runs again salts alike.
+    salt is a hash of the other columns, so a task that runs again salts alike;
+    rows that are equal in all columns share a salt.
     """
     keys = [key]
     if salts > 1:

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reckoner.sources.staging import stage
 
 
 def best_one(df: DataFrame, metric: str, tie_break: str) -> DataFrame:
@@ -43,28 +42,33 @@ def nest_top_k(top: DataFrame, group: str, columns: Sequence[str], name: str, ra
     return top.groupBy(group).agg(items.alias(name))
 
 
-def rank_all(df: DataFrame, descending: Sequence[str], rank: str = "rank") -> DataFrame:
+def rank_all(df: DataFrame, descending: Sequence[str], rank: str = "rank", ranges: int = 200) -> DataFrame:
     """Competition rank (1, 2, 2, 4) over the whole table, without one big task.
 
     Equal values share a rank, so only the distinct values are ordered, each
-    with its number of rows. They are range partitioned and staged, as the
-    ranges must not move between the two reads below. A partition's offset is
-    the rows of all earlier partitions; the offsets are as many as partitions.
-    ``df`` is read twice and should be cheap to read, such as a staged table.
+    with its number of rows. Their ranges are cut at approximate quantiles of
+    the first column, a scalar subquery, so a value's range depends on nothing
+    else. A range's offset is the rows of all greater ranges; there are at most
+    ``ranges`` offsets.
     """
     order = [F.desc(c) for c in descending]
     values = df.groupBy(*descending).agg(F.count(F.lit(1)).alias("__rows"))
-    ranges = stage(values.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()))
+    shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    cuts = values.agg(F.percentile_approx(descending[0], shares, F.lit(20 * ranges))).scalar()
+    above = F.size(F.filter("__cuts", lambda c: c > F.col(descending[0])))
+    ranged = values.withColumn("__cuts", cuts).select(
+        *descending, "__rows", F.when(F.col(descending[0]).isNull(), ranges).otherwise(above).alias("__part")
+    )
 
     earlier_parts = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        ranges.groupBy("__part")
+        ranged.groupBy("__part")
         .agg(F.sum("__rows").alias("__rows"))
         .select("__part", F.coalesce(F.sum("__rows").over(earlier_parts), F.lit(0)).alias("__before"))
     )
     earlier_rows = Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     position: Column = F.lit(1) + F.col("__before") + F.coalesce(F.sum("__rows").over(earlier_rows), F.lit(0))
-    ranked = ranges.join(offsets, "__part").select(*descending, position.alias(rank))
+    ranked = ranged.join(offsets, "__part").select(*descending, position.alias(rank))
 
     left, right = df.alias("l"), ranked.alias("r")
     same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in descending]

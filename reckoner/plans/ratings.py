@@ -53,9 +53,11 @@ def movie_means_known(parts: Sequence[DataFrame], movies: DataFrame) -> DataFram
     return lookup(_movie_means(ratings), titles, "movie_id").select("movie_id", "title", "avg_rating", "n_ratings")
 
 
-def best_movie(means: DataFrame, min_support: int = 5) -> DataFrame:
-    """The movie with the greatest positive mean among those with enough ratings."""
-    eligible = with_support(means, "n_ratings", min_support).filter(F.col("avg_rating") > 0)
+def best_movie(means: DataFrame, min_support: int = 5, positive_only: bool = False) -> DataFrame:
+    """The movie with the greatest mean among those with enough ratings; ``positive_only`` leaves out means of 0."""
+    eligible = with_support(means, "n_ratings", min_support)
+    if positive_only:
+        eligible = eligible.filter(F.col("avg_rating") > 0)
     return best_one(eligible, "avg_rating", "movie_id")
 
 

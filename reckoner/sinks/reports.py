@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from reckoner.functions.buckets import FOUR_AGES, SEVEN_AGES
 from reckoner.functions.numbers import fixed2_binary, fixed2_half_up
 from reckoner.functions.text import left_text, pad_ascii, pad_text
+from reckoner.sinks.writers import table_lines
 from reckoner.sources.memory import from_values
 
 # Texts of the reports. %s stands for a formatted value.
@@ -45,6 +46,8 @@ YEARS_HEADER = "--- ĐIỂM TRUNG BÌNH VÀ TỔNG LƯỢT ĐÁNH GIÁ THEO NĂM
 SCHEMA_HEADER = "Cấu trúc Schema:"
 COUNTRIES_HEADER = "Số lượng đơn hàng theo quốc gia:"
 MONTHS_HEADER = "Số lượng đơn hàng nhóm theo năm, tháng đặt hàng (Năm tăng dần, Tháng giảm dần):"
+COUNTRY_COLUMNS = {"country": "Customer_Country", "n_orders": "count"}
+MONTH_COLUMNS = {"year": "Year", "month": "Month", "n_orders": "count"}
 TOTAL_LABELS = {
     "orders": "Tổng số đơn hàng",
     "customers": "Tổng số khách hàng",
@@ -155,6 +158,20 @@ def total_lines(totals: DataFrame) -> DataFrame:
     return totals.select(F.concat(label, F.lit(": "), F.col("total").cast("string")).alias("line"))
 
 
+def _table(counts: DataFrame, names: dict[str, str]) -> DataFrame:
+    return table_lines(counts.select(*[F.col(old).alias(new) for old, new in names.items()]))
+
+
+def country_table(counts: DataFrame) -> DataFrame:
+    """The bordered table of all countries of ``plans.orders.orders_by_country``."""
+    return _table(counts, COUNTRY_COLUMNS)
+
+
+def month_table(counts: DataFrame) -> DataFrame:
+    """The bordered table of all months of ``plans.orders.orders_by_month``."""
+    return _table(counts, MONTH_COLUMNS)
+
+
 def with_header(lines: DataFrame, header: str) -> DataFrame:
     """The header line, then all lines."""
     first = from_values(lines.sparkSession, [header], "line")

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import io
 from collections.abc import Sequence
-from contextlib import redirect_stdout
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,17 +46,32 @@ def write_key_value(df: DataFrame, path: str, key: str, value: str, mode: str =
     write_lines(delimited_lines(df, "\t", [key, value]), path, mode)
 
 
-def dump(df: DataFrame, rows: int = 20) -> None:
-    """Print the first rows without cutting values."""
+def dump(df: DataFrame, rows: int) -> None:
+    """Print the first rows without cutting values. All rows: ``table_lines``."""
     df.show(rows, truncate=False)
 
 
-def table_text(df: DataFrame, rows: int = 20) -> str:
-    """What ``dump`` prints, as text. Only ``rows`` rows reach the driver."""
-    out = io.StringIO()
-    with redirect_stdout(out):
-        dump(df, rows)
-    return out.getvalue()
+def table_lines(df: DataFrame) -> DataFrame:
+    """All rows as the ``line``s of a bordered table, left-aligned, in the order of ``df``.
+
+    Widths come from one aggregate; the lines are made by the tasks that hold
+    the rows. NULL is written out; a column is at least three wide.
+    """
+    cells = df.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("NULL")).alias(f"_{i}") for i, c in enumerate(df.columns)])
+    least = [max(3, len(c)) for c in df.columns]
+    widths = cells.agg(
+        F.array(*[F.greatest(F.lit(n), F.coalesce(F.max(F.length(f"_{i}")), F.lit(0))) for i, n in enumerate(least)]).alias("w")
+    )
+
+    def line(texts: Sequence[Column], width: Column) -> Column:
+        padded = [F.rpad(t, F.get(width, F.lit(i)), F.lit(" ")) for i, t in enumerate(texts)]
+        return F.concat(F.lit("|"), F.concat_ws("|", *padded), F.lit("|"))
+
+    bars = F.concat(F.lit("+"), F.array_join(F.transform("w", lambda n: F.repeat(F.lit("-"), n)), "+"), F.lit("+"))
+    head = F.array(bars, line([F.lit(c) for c in df.columns], F.col("w")), bars)
+    top = widths.select(F.explode(head).alias("line"))
+    body = cells.select(line([F.col(c) for c in cells.columns], widths.scalar()).alias("line"))
+    return top.unionAll(body).unionAll(widths.select(bars.alias("line")))
 
 
 def schema_text(df: DataFrame) -> str:

@@ -2,56 +2,54 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from reckoner.operators.enrich import one_per_key
-from reckoner.sources.csv import read_declared, read_with_header
+from reckoner.operators.filters import parsed_only
+from reckoner.sources.csv import read_declared, read_named, read_with_header
 from reckoner.sources.text import Dialect, first_field, parse_lines, read_lines
 
-# Column order of the input files.
-MOVIES = "movie_id int, title string, genres string"
-RATINGS = "user_id int, movie_id int, rating double, rated_at bigint"
-USERS = "user_id int, gender string, age int, occupation_id int, zip_code string"
-USERS_TEXT_AGE = "user_id int, gender string, age string, occupation_id int, zip_code string"
-OCCUPATIONS = "occupation_id int, occupation string"
-REVIEWS = "id int, review string, category string, aspect string, sentiment string"
-ORDERS = (
-    "Order_ID string, Customer_Trx_ID string, Order_Status string, "
-    "Order_Purchase_Timestamp timestamp, Order_Approved_At timestamp, "
-    "Order_Delivered_Carrier_Date timestamp, Order_Delivered_Customer_Date timestamp, "
-    "Order_Estimated_Delivery_Date timestamp"
-)
+# Column order of the input files. An id is text where the program
+# compares texts, and a whole number where it parses it.
+MOVIES = "movie_id {id}, title string, genres string"
+RATINGS = "user_id {id}, movie_id {id}, rating double, rated_at bigint"
+USERS = "user_id {id}, gender string, age int, occupation_id {id}, zip_code string"
+OCCUPATIONS = "occupation_id {id}, occupation string"
+REVIEWS = "id bigint, review string, category string, aspect string, sentiment string"
 
 
-def _dimension(spark: SparkSession, path, schema: str, dialect: Dialect, key: str, columns) -> DataFrame:
-    rows = parse_lines(read_lines(spark, path), schema, dialect)
-    return one_per_key(rows.select(*columns) if columns else rows, key)
+def _rows(spark: SparkSession, path, schema: str, dialect: Dialect, columns, min_fields=None) -> DataFrame:
+    """The columns asked for. Rows too short for the whole schema are dropped where the dialect drops short rows."""
+    schema = schema.format(id="string" if dialect.trim else "bigint")
+    if dialect.on_short_row == "drop" and min_fields is None:
+        min_fields = schema.count(",") + 1
+    return parse_lines(read_lines(spark, path), schema, dialect, min_fields, columns)
 
 
 def read_movies(spark: SparkSession, path, dialect: Dialect, columns=None) -> DataFrame:
-    return _dimension(spark, path, MOVIES, dialect, "movie_id", columns)
+    return one_per_key(_rows(spark, path, MOVIES, dialect, columns), "movie_id")
 
 
-def read_users(spark: SparkSession, path, dialect: Dialect, columns=None, text_age: bool = False) -> DataFrame:
-    """Users. With ``text_age`` the age stays text, for ``filters.parsed_only``.
+def read_users(spark: SparkSession, path, dialect: Dialect, columns=None, skip_bad_age: bool = False) -> DataFrame:
+    """Users, one row per id. With ``skip_bad_age`` rows whose age is no number are left out before that.
 
     ``columns`` limits what is parsed, so a bad number elsewhere does not fail.
     """
-    schema = USERS_TEXT_AGE if text_age else USERS
-    return _dimension(spark, path, schema, dialect, "user_id", columns)
+    if not skip_bad_age:
+        return one_per_key(_rows(spark, path, USERS, dialect, columns), "user_id")
+    rows = _rows(spark, path, USERS.replace("age int", "age string"), dialect, columns)
+    return one_per_key(parsed_only(rows, "age", "int"), "user_id")
 
 
 def read_occupations(spark: SparkSession, path, dialect: Dialect) -> DataFrame:
-    return _dimension(spark, path, OCCUPATIONS, dialect, "occupation_id", None)
+    return one_per_key(_rows(spark, path, OCCUPATIONS, dialect, None), "occupation_id")
 
 
-def read_ratings(spark: SparkSession, path, dialect: Dialect, min_fields: int | None = None) -> DataFrame:
+def read_ratings(spark: SparkSession, path, dialect: Dialect, columns=None, min_fields: int | None = None) -> DataFrame:
     """Ratings of a file, a folder or several paths. Extra fields are ignored."""
-    return parse_lines(read_lines(spark, path), RATINGS, replace(dialect, bounded=False), min_fields)
+    return _rows(spark, path, RATINGS, replace(dialect, bounded=False), columns, min_fields)
 
 
 def read_reviews(spark: SparkSession, path) -> DataFrame:
@@ -63,22 +61,32 @@ def read_stop_words(spark: SparkSession, path) -> DataFrame:
     return first_field(read_lines(spark, path), "word")
 
 
-def read_orders(spark: SparkSession, path, infer: bool = False) -> DataFrame:
-    """Orders with their known schema, or with inferred types."""
-    return read_with_header(spark, path, None if infer else ORDERS)
+# Columns of the files with a header row, and the names and types the analyses use.
+ORDERS = {
+    "Order_ID": ("order_id", "string"),
+    "Customer_Trx_ID": ("customer_id", "string"),
+    "Order_Purchase_Timestamp": ("purchased_at", "timestamp"),
+    "Order_Delivered_Carrier_Date": ("delivered_at", "timestamp"),
+}
+CUSTOMERS = {"Customer_Trx_ID": ("customer_id", "string"), "Customer_Country": ("country", "string")}
+ITEMS = {
+    "Order_ID": ("order_id", "string"),
+    "Product_ID": ("product_id", "string"),
+    "Seller_ID": ("seller_id", "string"),
+    "Shipping_Limit_Date": ("ship_limit", "timestamp"),
+    "Price": ("price", "decimal(14,2)"),
+    "Freight_Value": ("freight", "decimal(14,2)"),
+}
+PRODUCTS = {"Product_ID": ("product_id", "string"), "Product_Category_Name": ("category", "string")}
+ORDER_REVIEWS = {"Order_ID": ("order_id", "string"), "Review_Score": ("score", "string")}
 
 
-# File columns and the names the analyses use.
-ORDER_NAMES = {
-    "Order_ID": "order_id",
-    "Customer_Trx_ID": "customer_id",
-    "Order_Purchase_Timestamp": "purchased_at",
-    "Order_Delivered_Carrier_Date": "delivered_at",
-}
-CUSTOMER_NAMES = {"Customer_Trx_ID": "customer_id", "Customer_Country": "country"}
-ITEM_NAMES = {"Seller_ID": "seller_id"}
+def read_table(spark: SparkSession, path, columns, names=None) -> DataFrame:
+    """The columns of a table under the analyses' ``names`` (all by default), found by the header."""
+    wanted = {old: new for old, new in columns.items() if names is None or new[0] in names}
+    return read_named(spark, path, wanted)
 
 
-def renamed(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
-    """Only the named columns, under their new names."""
-    return df.select(*[F.col(old).alias(new) for old, new in names.items()])
+def read_inferred(spark: SparkSession, path) -> DataFrame:
+    """All columns of a file with a header row, with inferred types."""
+    return read_with_header(spark, path)

@@ -2,26 +2,33 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_staged: list[str] = []
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Compute once into the reliable checkpoint folder and read it from there.
+def stage(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """Compute now, write to files, and read them from there.
 
-    The session's ``spark.checkpoint.dir`` names the folder, which all
-    executors share, so lost executors do not lose the files. Only a session
-    on one machine may leave it unset; it then gets a temporary folder.
+    The files go to a folder of their own in ``folder`` or in the session's
+    ``spark.checkpoint.dir``, which all executors share, so lost executors do
+    not lose them. Where neither is given nothing is computed or written, and
+    ``df`` itself is returned. ``clean`` removes the files.
     """
-    session, context = df.sparkSession, df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = session.conf.get(SETTING, None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError(f"set {SETTING} to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="reckoner-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    folder = folder or df.sparkSession.conf.get(SETTING, None)
+    if folder is None:
+        return df
+    path = f"{folder.rstrip('/')}/stage-{uuid.uuid4().hex}"
+    _staged.append(path)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clean(spark: SparkSession) -> None:
+    """Remove the files of all stages so far; their DataFrames are gone then."""
+    while _staged:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

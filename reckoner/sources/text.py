@@ -48,16 +48,23 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 def parse_lines(
-    lines: DataFrame, schema: StructType | str, dialect: Dialect, min_fields: int | None = None
+    lines: DataFrame,
+    schema: StructType | str,
+    dialect: Dialect,
+    min_fields: int | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Split ``value`` into typed columns by position.
 
-    ``min_fields`` is the fewest fields of a well-formed row, by default the
-    number of columns. Fields beyond the schema are ignored.
+    Only ``columns`` (by default all) are read, so what other fields hold does
+    not matter. ``min_fields`` is the fewest fields of a well-formed row, by
+    default up to the last one that is read. Fields beyond the schema are
+    ignored.
     """
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
-    needed = len(schema) if min_fields is None else min_fields
+    wanted = [schema.names.index(c) for c in (columns or schema.names)]
+    needed = max(wanted) + 1 if min_fields is None else min_fields
 
     value = F.col("value")
     if not dialect.trailing_empty:
@@ -74,15 +81,16 @@ def parse_lines(
     else:
         raise ValueError(f"on_short_row must be 'fail', 'drop' or 'null', not {dialect.on_short_row!r}")
 
-    columns = []
-    for i, field in enumerate(schema):
+    parsed = []
+    for i in wanted:
+        field = schema[i]
         column = F.get("fields", F.lit(i))
         if dialect.trim:
             column = strip(column)
         if not isinstance(field.dataType, StringType):
             column = parse_number(column, field.dataType.simpleString(), dialect.on_bad_number)
-        columns.append(column.alias(field.name))
-    return split.select(*columns)
+        parsed.append(column.alias(field.name))
+    return split.select(*parsed)
 
 
 def first_field(lines: DataFrame, column: str, sep: str = "\t") -> DataFrame:

@@ -4,8 +4,12 @@ import pytest
 
 import __spark_entry__
 from checks.compare import connect, difference
+from checks.queries import QUERIES
+from checks.sql import SQL
 
 SF = "/root/testdata/sf0.001"
+# Few words of the smallest tables occur more than 500 times; all other queries have rows.
+MAY_BE_EMPTY = {"q_word_count_over"}
 
 
 @pytest.fixture(scope="module")
@@ -13,9 +17,9 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(__spark_entry__.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    assert difference(spark, con, SF, name) in ("", "no rows")
+    assert difference(spark, con, SF, name) in (("", "no rows") if name in MAY_BE_EMPTY else ("",))
 
 
 @pytest.mark.parametrize(
@@ -26,13 +30,13 @@ def test_query_equals_sql(spark, con, name):
     ],
 )
 def test_sorted_query_has_the_order_of_its_sql(spark, con, name):
-    df = __spark_entry__.queries()[name](spark, SF)
-    want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({__spark_entry__.oracle_sql()[name]})").fetchall()
+    df = QUERIES[name](spark, SF)
+    want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({SQL[name]})").fetchall()
     assert [tuple(r) for r in df.collect()] == want
 
 
 def test_every_query_has_sql():
-    assert set(__spark_entry__.queries()) == set(__spark_entry__.oracle_sql())
+    assert set(QUERIES) == set(SQL) and set(QUERIES) <= set(__spark_entry__.queries())
 
 
 def test_entry(spark):

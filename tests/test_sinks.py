@@ -6,7 +6,7 @@ from reckoner.sinks.writers import (
     delimited_lines,
     dump,
     schema_text,
-    table_text,
+    table_lines,
     write_delimited,
     write_key_value,
     write_lines,
@@ -46,11 +46,19 @@ def test_values_are_not_escaped(spark):
     assert rows(delimited_lines(df, ";")) == [("sẽ,;{(a,1),(b,c,2)}",)]
 
 
+def test_a_table_shows_all_its_rows(spark):
+    df = spark.createDataFrame([(f"land {i}", i * 1000) for i in range(27)] + [(None, None)], "country string, n int").coalesce(1)
+    got = [r[0] for r in rows(table_lines(df))]
+    assert got[:5] == ["+-------+-----+", "|country|n    |", "+-------+-----+", "|land 0 |0    |", "|land 1 |1000 |"]
+    assert len(got) == 32 and got[-2:] == ["|NULL   |NULL |", "+-------+-----+"]
+    assert [r[0] for r in rows(table_lines(df.limit(0)))][1] == "|country|n  |"
+
+
 def test_previews(spark, capsys):
     df = _data(spark).limit(1)
-    dump(df)
-    assert capsys.readouterr().out == table_text(df)
-    assert table_text(df).splitlines()[1] == "|k    |n  |"
+    dump(df, 1)
+    assert capsys.readouterr().out.splitlines()[:-1] == [r[0] for r in rows(table_lines(df))]
+    assert rows(table_lines(df))[1] == ("|k    |n  |",)
     assert schema_text(df).strip().splitlines() == [
         "root", " |-- k: string (nullable = true)", " |-- n: integer (nullable = true)",
     ]
