@@ -158,7 +158,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, l
     """A bounded sample of texts with labels, weights that restore the labels' shares, and the share of label 1."""
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).filter(F.col("label").isin(0, 1)).distinct()
     rows = docs.filter(F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", F.col("text").cast("string").alias("text"))
-    sized = rows.select("doc_id", F.octet_length("text").alias("size"), F.xxhash64("text").alias("key"))
+    sized = rows.select("doc_id", F.octet_length("text").alias("size"), F.xxhash64("text").alias("key")).filter("size > 0")
     joined = written(sized.join(known, "doc_id").withColumn("order", F.xxhash64("doc_id", "label", F.lit(SEED))), "labelled")
     counts = {r[0]: r[1] for r in joined.groupBy("label").agg(F.count("*")).collect()}
     picked = []
