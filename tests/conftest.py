@@ -3,7 +3,8 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 from reckoner.session import local_session  # noqa: E402
 
@@ -33,17 +34,3 @@ def conf(spark):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, value)
-
-
-def rows(df):
-    return [tuple(r) for r in df.collect()]
-
-
-def plan(df):
-    import io
-    from contextlib import redirect_stdout
-
-    out = io.StringIO()
-    with redirect_stdout(out):
-        df.explain("formatted")
-    return out.getvalue()

@@ -1,7 +1,7 @@
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -2,7 +2,7 @@ import random
 from collections import Counter
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from reckoner.operators.aggregate import (

@@ -3,7 +3,7 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from reckoner.plans import orders as plans
 from reckoner.sinks import reports

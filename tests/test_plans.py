@@ -5,7 +5,7 @@ import re
 import subprocess
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 
 import __spark_entry__
 from checks.queries import QUERIES

@@ -1,7 +1,7 @@
 """Ratings analyses on a small set holding every edge case, with values worked out by hand."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from reckoner.plans import ratings as plans
 from reckoner.sinks import reports

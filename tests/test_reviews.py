@@ -1,7 +1,7 @@
 from collections import Counter
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from reckoner.plans import reviews as plans
 from reckoner.sinks.writers import delimited_lines

@@ -1,6 +1,6 @@
 import glob
 
-from conftest import rows
+from helpers import rows
 
 from reckoner.sinks.writers import (
     delimited_lines,

@@ -1,7 +1,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from reckoner.sources import datasets
 from reckoner.sources.csv import read_declared, read_named, read_with_header
