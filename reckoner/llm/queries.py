@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reckoner.llm import chat, context_tree, decontaminate, exact_dedup, language, minhash, mixing, quality, token_counts, toxicity
+from reckoner.llm import chat, context_tree, decontaminate, exact_dedup, language, merkle, minhash, mixing, quality, token_counts, toxicity
 from reckoner.llm.shared import new_folder
 
 
@@ -69,6 +69,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("row_id", "text_key")
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_token_counts": op2_token_counts,
@@ -80,4 +84,5 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_context_tree": op9_context_tree,
     "op10_exact_dedup": op10_exact_dedup,
+    "op13_merkle": op13_merkle,
 }

@@ -61,3 +61,63 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_char
        CAST(formatted_chars AS BIGINT) AS formatted_chars
 FROM joined
 """
+
+
+def merkle_sql(levels: int = 8, lang_levels: int = 3) -> str:
+    """The manifest level by level: enough for 8 ** levels rows a language and 8 ** lang_levels languages."""
+
+    def up(name: str, n: int) -> str:
+        steps = []
+        for k in range(n):
+            steps.append(f"""
+{name}_n{k} AS (
+  SELECT key, idx, h, count(*) OVER (PARTITION BY key) AS n,
+         coalesce(string_agg(h, '') OVER (PARTITION BY key, idx // 8 ORDER BY idx
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(h, '') OVER (PARTITION BY key, idx // 8 ORDER BY idx
+                  ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name}_{k}),
+{name}_{k + 1} AS (
+  SELECT key, idx // 8 AS idx, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(h, '' ORDER BY idx)) ELSE any_value(h) END AS h
+  FROM {name}_n{k} GROUP BY key, idx // 8)""")
+        return ",".join(steps)
+
+    def walk(name: str, source: str, n: int) -> str:
+        steps = []
+        for k in range(n):
+            steps.append(f"""
+{name}_w{k + 1} AS (
+  SELECT w.* REPLACE (idx // 8 AS idx, proof || l || r AS proof, CASE WHEN n > 1 THEN sha256(l || folded || r) ELSE folded END AS folded)
+  FROM {source if k == 0 else f"{name}_w{k}"} w JOIN (SELECT key, idx, n, l, r FROM {name}_n{k}) USING (key, idx))""")
+        return ",".join(steps)
+
+    def leaf(text: str) -> str:
+        values = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+        return "sha256(" + " || ".join(f"coalesce(CAST(strlen({v}) AS VARCHAR) || ':' || {v}, '-')" for v in values) + ")"
+
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    # The checksum bit by bit: a byte is xor-ed in, then eight shifts (-1).
+    crc = """xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+             ch -> [CAST(ascii(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+             (c, x) -> CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, (c & 1) * 3988292384) END), 4294967295)"""
+    return f"""
+WITH leaves AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS key, {leaf("text")} AS leaf,
+         CASE WHEN {crc} % 3 = 0 THEN {leaf(lowered)} ELSE {leaf("text")} END AS tampered
+  FROM documents),
+placed AS (
+  SELECT key, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS LAST, leaf) - 1 AS idx, doc_id, leaf, '' AS proof, tampered AS folded
+  FROM leaves),
+a_0 AS (SELECT key, idx, leaf AS h FROM placed),{up("a", levels)},
+b_0 AS (SELECT '' AS key, row_number() OVER (ORDER BY key) - 1 AS idx, h FROM a_{levels}),{up("b", lang_levels)},
+{walk("a", "placed", levels).lstrip()},
+subroots AS (SELECT key AS of_lang, h AS subroot, row_number() OVER (ORDER BY key) - 1 AS nth FROM a_{levels}),
+tops AS (
+  SELECT '' AS key, nth AS idx, doc_id, leaf, proof, folded, subroot
+  FROM a_w{levels} w JOIN subroots s ON w.key = s.of_lang),{walk("b", "tops", lang_levels)}
+SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = h AS verified
+FROM b_w{lang_levels}, b_{lang_levels}
+"""
+
+
+SQL["op13_merkle"] = merkle_sql()
