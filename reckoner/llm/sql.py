@@ -98,8 +98,8 @@ def merkle_sql(levels: int = 8, lang_levels: int = 3) -> str:
     lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     # The checksum bit by bit: a byte is xor-ed in, then eight shifts (-1).
     crc = """xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
-             ch -> [CAST(ascii(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
-             (c, x) -> CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, (c & 1) * 3988292384) END), 4294967295)"""
+             lambda ch: [CAST(ascii(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+             lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, (c & 1) * 3988292384) END), 4294967295)"""
     return f"""
 WITH leaves AS (
   SELECT doc_id, coalesce('=' || lang, '') AS key, {leaf("text")} AS leaf,
