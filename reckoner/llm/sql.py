@@ -121,3 +121,36 @@ FROM b_w{lang_levels}, b_{lang_levels}
 
 
 SQL["op13_merkle"] = merkle_sql()
+
+SQL["op12_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+said AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+f1 AS (SELECT lang, w AS phrase, count(*) AS f FROM (SELECT lang, unnest(w) AS w FROM said) GROUP BY ALL),
+f2 AS (
+  SELECT lang, w[i] AS w1, w[i + 1] AS w2, count(*) AS f
+  FROM (SELECT lang, w, unnest(generate_series(1, len(w) - 1)) AS i FROM said) GROUP BY ALL),
+f3 AS (
+  SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3, count(*) AS f
+  FROM (SELECT lang, w, unnest(generate_series(1, len(w) - 2)) AS i FROM said) GROUP BY ALL HAVING count(*) >= 10),
+cuts AS (
+  SELECT lang, concat_ws(' ', w1, w2) AS phrase, 2 AS n_words, f2.f AS a, 1 AS k, l.f AS l, r.f AS r
+  FROM f2 JOIN f1 l USING (lang) JOIN f1 r USING (lang)
+  WHERE f2.f >= 10 AND l.phrase = w1 AND r.phrase = w2
+    AND NOT EXISTS (FROM f3 WHERE f3.lang = f2.lang AND f3.w1 = f2.w1 AND f3.w2 = f2.w2 AND 100 * f3.f >= 50 * f2.f)
+    AND NOT EXISTS (FROM f3 WHERE f3.lang = f2.lang AND f3.w2 = f2.w1 AND f3.w3 = f2.w2 AND 100 * f3.f >= 50 * f2.f)
+  UNION ALL
+  SELECT f3.lang, concat_ws(' ', f3.w1, f3.w2, f3.w3), 3, f3.f, 1, l.f, r.f
+  FROM f3 JOIN f1 l ON l.lang = f3.lang AND l.phrase = f3.w1 JOIN f2 r ON r.lang = f3.lang AND r.w1 = f3.w2 AND r.w2 = f3.w3
+  UNION ALL
+  SELECT f3.lang, concat_ws(' ', f3.w1, f3.w2, f3.w3), 3, f3.f, 2, l.f, r.f
+  FROM f3 JOIN f2 l ON l.lang = f3.lang AND l.w1 = f3.w1 AND l.w2 = f3.w2 JOIN f1 r ON r.lang = f3.lang AND r.phrase = f3.w3),
+scored AS (SELECT *, CAST((1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f1 GROUP BY lang)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score, n_words
+FROM lowest JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""
