@@ -14,10 +14,10 @@ frequent pairs, ranked anew, are the items of the next.
   sorted coordinate lists; both are moved as packed lists by tile. The task that
   owns a tile adds long lists to a dense array of its cells by bincount, and
   merges short ones in sorted order.
-* **The rest.** Pairs with an item beyond the ranks are counted by key in an
-  ordinary aggregate, after a Bloom filter (16 MB at most) of the frequent items
-  beyond the ranks; what passes it wrongly is dropped by its own count, as a pair
-  is never more frequent than its items. So no item and no pair is left out.
+* **The rest.** Pairs with an item beyond the ranks have no address. They are
+  counted by their keys in sorted coordinate lists alone, after a Bloom filter (16 MB
+  at most) of the frequent items beyond the ranks; a join drops what passes it
+  wrongly. So no item and no pair is left out.
 
 A task sums what it reads before anything is moved. Candidates keep the counts of
 all their first and last words, so every cut is at hand without another join.
@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +48,8 @@ SIDE_BITS = 8
 SIDE = 1 << SIDE_BITS
 CELLS = SIDE * SIDE
 HOT = 1 << 10
-BUCKETS = 1024
+# Buckets grow with the corpus, so that the distinct pairs of one fit a task.
+BUCKETS, MOST_BUCKETS, WORDS_A_BUCKET = 1024, 1 << 30, 1 << 21
 DENSE_FROM = CELLS // 32
 SHARD_ROWS, SHRINK = 100_000, 8
 U64 = np.uint64
@@ -146,22 +147,22 @@ def ranks_at(address_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (tile // across << SIDE_BITS) | (cell >> SIDE_BITS), (tile % across << SIDE_BITS) | (cell & (SIDE - 1))
 
 
-def tile_bucket(addresses: np.ndarray) -> np.ndarray:
-    return (mix(addresses >> U64(2 * SIDE_BITS)) % U64(BUCKETS)).astype(np.int32)
+def tile_bucket(addresses: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(addresses >> U64(2 * SIDE_BITS)) % U64(buckets)).astype(np.int32)
 
 
-PAIRS = "bucket int, keys binary, counts binary, first long, second long, n long"
-EMPTY = np.zeros(0, np.int64)
+PAIRS = "bucket int, keys binary, counts binary, second binary"
 
 
-def _pair_rows(packed: pa.RecordBatch | None, first=EMPTY, second=EMPTY, n=EMPTY) -> pa.RecordBatch:
-    """Packed rows of tiles, or plain rows of pairs beyond the ranks."""
-    if packed is not None:
-        none = pa.nulls(len(packed), pa.int64())
-        return pa.record_batch([*packed.columns, none, none, none], names=[*tally.NAMES, "first", "second", "n"])
-    none = [pa.nulls(len(n), k) for k in (pa.int32(), pa.binary(), pa.binary())]
-    plain = [pa.array(x.astype(np.int64, copy=False)) for x in (first.view(np.int64), second.view(np.int64), n)]
-    return pa.record_batch([*none, *plain], names=[*tally.NAMES, "first", "second", "n"])
+def _packed(parts: Iterator, coordinates: bool = False) -> pa.RecordBatch:
+    """Rows of tiles, or of pairs beyond the ranks, whose bucket numbers are negative."""
+    columns = [[], [], [], []]
+    for bucket, keys, counts, *second in parts:
+        packed = (keys.tobytes(), b"\x08" + counts.tobytes()) if coordinates else tally.pack(keys, counts)
+        for column, value in zip(columns, (-1 - bucket if coordinates else bucket, *packed, second[0].tobytes() if coordinates else None), strict=True):
+            column.append(value)
+    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[*tally.NAMES, "second"])
 
 
 class Coordinates:
@@ -170,9 +171,12 @@ class Coordinates:
     def __init__(self):
         self.parts, self.pending, self.held = [], 0, 0
 
-    def add(self, first: np.ndarray, second: np.ndarray) -> None:
-        both, at, n = np.unique(combined(first, second), return_index=True, return_counts=True)
-        self.parts.append((both, first[at], second[at], n))
+    def add(self, first: np.ndarray, second: np.ndarray, n: np.ndarray | None = None) -> None:
+        both = combined(first, second)
+        if n is None:
+            both, at, n = np.unique(both, return_index=True, return_counts=True)
+            first, second = first[at], second[at]
+        self.parts.append((both, first, second, n))
         self.pending += len(both)
         if self.pending > max(tally.COMPACT_AT, self.held):
             self.compact()
@@ -186,15 +190,26 @@ class Coordinates:
         self.parts, self.pending, self.held = [(both[at], first[at], second[at], n)], 0, len(at)
 
     def take(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All pairs, which are held no more: first, second, count."""
         if not self.parts:
-            return EMPTY, EMPTY, EMPTY
+            return np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, np.int64)
         self.compact()
-        _, first, second, n = self.parts[0]
+        _, *found = self.parts[0]
         self.parts, self.held = [], 0
-        return first, second, n
+        return found
 
+    def split(self, buckets: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """All pairs by bucket: first, count, second."""
+        first, second, n = self.take()
+        bucket = (mix(combined(first, second)) % U64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        found, start = np.unique(bucket[order], return_index=True)
+        for b, at in zip(found.tolist(), np.split(order, start[1:]) if len(found) else [], strict=True):
+            yield b, first[at], n[at], second[at]
 
-def _count_pairs(batches: Iterator[pa.RecordBatch], frequent, length: int) -> Iterator[pa.RecordBatch]:
+
+def _count_pairs(batches: Iterator[pa.RecordBatch], frequent, length: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    bucket_of = partial(tile_bucket, buckets=buckets)
     known, hot, tiles, rest = frequent.value, np.zeros(HOT * HOT, np.int64), tally.Tally(), Coordinates()
     for batch in batches:
         for _, _, keys, joined in sliced_words(batch, 0, 1):
@@ -212,14 +227,14 @@ def _count_pairs(batches: Iterator[pa.RecordBatch], frequent, length: int) -> It
             tiles.add(address(first[both & ~dense], second[both & ~dense]))
             rest.add(keys[at[~both]], keys[at[~both] + 1])
             if tiles.held > tally.EMIT_AT:
-                yield _pair_rows(tally.rows_of(tally.split(*tiles.compact(), tile_bucket)))
+                yield _packed(tally.split(*tiles.compact(), bucket_of))
                 tiles = tally.Tally()
             if rest.held > tally.EMIT_AT:
-                yield _pair_rows(None, *rest.take())
+                yield _packed(rest.split(buckets), coordinates=True)
     some = np.flatnonzero(hot)
     tiles.add(address(some // HOT, some % HOT), hot[some])
-    yield _pair_rows(tally.rows_of(tally.split(*tiles.compact(), tile_bucket)))
-    yield _pair_rows(None, *rest.take())
+    yield _packed(tally.split(*tiles.compact(), bucket_of))
+    yield _packed(rest.split(buckets), coordinates=True)
 
 
 def tile_counts(rows: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -250,31 +265,37 @@ def _counted(first: np.ndarray, second: np.ndarray, n: np.ndarray) -> pa.RecordB
     return pa.record_batch([pa.array(c) for c in columns], names=["key", "first", "second", "n"])
 
 
-def _merge_tiles(batches: Iterator[pa.RecordBatch], frequent, least: int) -> Iterator[pa.RecordBatch]:
+def coordinate_counts(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    pairs = Coordinates()
+    for keys, counts, second in rows:
+        pairs.add(np.frombuffer(keys, U64), np.frombuffer(second, U64), tally.counts_of(counts))
+    return pairs.take()
+
+
+def _merge(batches: Iterator[pa.RecordBatch], frequent, least: int) -> Iterator[pa.RecordBatch]:
     """Frequent pairs of each bucket; rows of a bucket follow each other."""
     by_rank = frequent.value.by_rank
 
-    def done(rows: list) -> Iterator[pa.RecordBatch]:
-        for addresses, counts in tile_counts(tally.unpack(*r) for r in rows):
+    def done(bucket: int | None, rows: list) -> Iterator[pa.RecordBatch]:
+        if bucket is not None and bucket < 0:
+            first, second, n = coordinate_counts(rows)
+            keep = n >= least
+            yield _counted(first[keep], second[keep], n[keep])
+            return
+        for addresses, counts in tile_counts(tally.unpack(keys, counts) for keys, counts, _ in rows):
             keep = counts >= least
             first, second = ranks_at(addresses[keep])
             yield _counted(by_rank[first], by_rank[second], counts[keep])
 
     bucket, rows = None, []
     for batch in batches:
-        for b, *packed in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+        for b, *packed in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
             if b != bucket and rows:
-                yield from done(rows)
+                yield from done(bucket, rows)
                 rows = []
             bucket = b
             rows.append(packed)
-    yield from done(rows)
-
-
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        first, second = (batch.column(i).to_numpy().view(U64) for i in range(2))
-        yield _counted(first, second, batch.column(2).to_numpy())
+    yield from done(bucket, rows)
 
 
 def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,20 +325,17 @@ def ranked(frequent: DataFrame) -> Items:
     return Items(keys, bitfilter.build(hashes, "hash", bitfilter.log2_bits(total - len(keys))))
 
 
-def frequent_pairs(texts: DataFrame, known: DataFrame, length: int, least: int) -> DataFrame:
+def frequent_pairs(texts: DataFrame, known: DataFrame, length: int, least: int, buckets: int) -> DataFrame:
     """Pairs of neighbouring items of ``length`` words: key, first, second, n. ``texts``: text, lang_key; ``known``: key, n."""
     spark = texts.sparkSession
     frequent = spark.sparkContext.broadcast(ranked(known))
-    found = written(texts.mapInArrow(lambda b: _count_pairs(b, frequent, length), PAIRS), "pairs")
-    owned = found.filter("bucket IS NOT NULL").select(*tally.NAMES).repartition("bucket").sortWithinPartitions("bucket")
-    tiles = owned.mapInArrow(lambda b: _merge_tiles(b, frequent, least), COUNTED)
-    rest = found.filter("bucket IS NULL").groupBy("first", "second").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    # What only the filter let pass has an item that is not known.
-    rest = rest.join(known.select(F.col("key").alias("first")), "first", "left_semi")
-    rest = rest.join(known.select(F.col("key").alias("second")), "second", "left_semi")
-    out = written(tiles.unionAll(rest.select("first", "second", "n").mapInArrow(_keyed, COUNTED)), "phrases")
+    found = texts.mapInArrow(lambda b: _count_pairs(b, frequent, length, buckets), PAIRS)
+    owned = found.repartition("bucket").sortWithinPartitions("bucket")
+    pairs = written(owned.mapInArrow(lambda b: _merge(b, frequent, least), COUNTED), "pairs")
     frequent.destroy()
-    return out
+    # What only the filter let pass has an item that is not known.
+    pairs = pairs.join(known.select(F.col("key").alias("first")), "first", "left_semi")
+    return pairs.join(known.select(F.col("key").alias("second")), "second", "left_semi")
 
 
 # --- phrases
@@ -344,6 +362,8 @@ def phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> tupl
     frequent = words.filter(F.col("n") >= least)
     if not frequent.groupBy("key").count().filter("count > 1").isEmpty():
         raise ValueError("two frequent words share a key")
+    total = totals.agg(F.sum("total")).first()[0] or 0
+    buckets = max(BUCKETS, min(MOST_BUCKETS, total // WORDS_A_BUCKET))
     no_key = F.lit(None).cast("long")
     tables = [
         frequent.select(
@@ -353,7 +373,7 @@ def phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> tupl
     ]
     for length in range(1, longest):
         below = tables[-1]
-        pairs = frequent_pairs(texts, below.select("key", "n"), length, least)
+        pairs = frequent_pairs(texts, below.select("key", "n"), length, least, buckets)
         a = below.select(F.col("key").alias("first"), "lang", "phrase", "first_n")
         b = below.select(F.col("key").alias("second"), "last", "last_n")
         met = pairs.join(a, "first").join(b, "second").select(
