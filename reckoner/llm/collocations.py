@@ -51,7 +51,8 @@ HOT = 1 << 10
 # Buckets grow with the corpus, so that the distinct pairs of one fit a task.
 BUCKETS, MOST_BUCKETS, WORDS_A_BUCKET = 1024, 1 << 30, 1 << 21
 DENSE_FROM = CELLS // 32
-SHARD_ROWS, SHRINK = 100_000, 8
+SHRINK = 4
+KNOWN_AT = 500_000
 U64 = np.uint64
 
 # The bytes that end a piece, and those that end a word within one.
@@ -109,7 +110,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for key, i in zip(found.tolist(), at.tolist(), strict=True):
                 if key not in known:
                     known[key] = langs[first + words.doc[i]], data[words.start[i] : words.end[i]].decode()
-            if len(known) > tally.EMIT_AT:
+            if len(known) > KNOWN_AT:
                 yield told()
                 known, counts = {}, tally.Tally()
     yield told()
@@ -387,7 +388,7 @@ def phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> tupl
 def top_per_group(rows: DataFrame, group: str, order: list, k: int, spread: str) -> DataFrame:
     """The first ``k`` rows of each group with their ``rank``: a large group is reduced in shards, ever fewer, before it meets in one task."""
     shards, total = [1], rows.count()
-    while total > SHARD_ROWS * shards[-1]:
+    while total > k * SHRINK * shards[-1]:
         shards.append(shards[-1] * SHRINK)
     for n in reversed(shards):
         shard = F.pmod(F.xxhash64(spread), F.lit(n))

