@@ -126,6 +126,19 @@ def run_hashes(word_hashes: np.ndarray, k: int) -> np.ndarray:
     return mix(out + U64(k))
 
 
+class Runs:
+    """Hashes of any runs of words, from sums of the hashes before each word."""
+
+    def __init__(self, word_hashes: np.ndarray):
+        n = len(word_hashes)
+        up, self.down = _power_tables(n + 1)
+        self.total = np.zeros(n + 1, U64)
+        np.cumsum(word_hashes * up[:n], out=self.total[1:])
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self.total[end] - self.total[start]) * self.down[start] + (end - start).astype(U64))
+
+
 def shingles_of(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingle hashes and their documents, in order, repeats kept.
 

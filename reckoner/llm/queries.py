@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reckoner.llm import chat, collocations, context_tree, decontaminate, exact_dedup, language, merkle, minhash, mixing, quality, token_counts, toxicity
+from reckoner.llm import chat, collocations, context_tree, decontaminate, exact_dedup, language, merkle, minhash, mixing, quality, repeats, token_counts, toxicity
 from reckoner.llm.shared import new_folder
 
 
@@ -69,6 +69,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("row_id", "text_key")
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -88,6 +92,7 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_context_tree": op9_context_tree,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_repeats": op11_repeats,
     "op12_collocations": op12_collocations,
     "op13_merkle": op13_merkle,
 }

@@ -154,3 +154,22 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 FROM lowest JOIN totals USING (lang)
 QUALIFY rank <= 2000
 """
+
+SQL["op11_repeats"] = r"""
+WITH dw AS (
+  SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT row_id, doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) AS s
+  FROM (SELECT row_id, doc_id, w, unnest(generate_series(1, len(w) - 49)) AS i FROM dw)),
+firsts AS (SELECT s, min(doc_id) AS first FROM windows GROUP BY s),
+gone AS (
+  SELECT DISTINCT row_id, unnest(generate_series(i, i + 49)) AS j
+  FROM windows JOIN firsts USING (s) WHERE first < doc_id OR (first IS NOT NULL AND doc_id IS NULL)),
+removed AS (SELECT row_id, count(*) AS n FROM gone GROUP BY row_id),
+kept AS (
+  SELECT row_id, string_agg(word, ' ' ORDER BY j) AS words
+  FROM (SELECT row_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS j FROM dw) ANTI JOIN gone USING (row_id, j)
+  GROUP BY row_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(words, '')) AS kept_sha256
+FROM dw LEFT JOIN removed USING (row_id) LEFT JOIN kept USING (row_id)
+"""
