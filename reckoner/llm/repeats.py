@@ -189,7 +189,8 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), no_id.alias("no_id"), (F.min("span") != F.max("span")).alias("open")
     )
     seeds = seeds.filter((F.col("low") < F.col("high")) | (F.col("low").isNotNull() & F.col("no_id"))).select("anchor", "open")
-    shared = written(found.join(seeds, "anchor"), "shared")
+    # Written, so that the join of a frequent anchor is one of its own and may be split; the same below.
+    shared = written(found.join(written(seeds, "seeds"), "anchor"), "shared")
     spans = shared.groupBy("anchor", "span", "before", "least_before", "open").agg(F.min("doc_id").alias("first"))
     spans = written(spans, "spans")
 
@@ -202,7 +203,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     table.destroy()
     order = F.struct(F.isnull("first"), "first", "span")
     pivots = sided.groupBy("anchor").agg(F.min_by(F.struct("span", "first", "left", "right"), order).alias("pivot"))
-    asked = sided.join(pivots, "anchor").filter(F.col("span") != F.col("pivot.span")).select(
+    asked = sided.join(written(pivots, "pivots"), "anchor").filter(F.col("span") != F.col("pivot.span")).select(
         "span", "anchor", "before", "least_before", smaller(F.col("pivot.first"), F.col("first")).alias("earlier"),
         "left", "right", F.col("pivot.left").alias("pivot_left"), F.col("pivot.right").alias("pivot_right"),
     )
@@ -210,7 +211,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     rest = extended.select("span", F.explode(F.arrays_zip("offsets", "windows")).alias("w")).join(spans.select("span", "first"), "span")
     rest = written(rest.select("span", "first", F.col("w.offsets").alias("offset"), F.col("w.windows").alias("window")), "rest")
     least = rest.groupBy("window").agg(F.min("first").alias("least"), F.count("*").alias("n")).filter("n > 1")
-    other = rest.join(least, "window").filter(smaller(F.col("least"), F.col("first")))
+    other = rest.join(written(least, "windows"), "window").filter(smaller(F.col("least"), F.col("first")))
     bit = F.expr("shiftleft(1L, offset)")
     masks = extended.select("span", "mask").unionAll(other.select("span", bit.alias("mask")))
     masks = masks.groupBy("span").agg(F.bit_or("mask").alias("mask"))
