@@ -12,12 +12,16 @@ from reckoner.functions.buckets import FOUR_AGES, SEVEN_AGES, bucket
 from reckoner.functions.numbers import fixed2_binary, fixed2_half_up
 from reckoner.operators.enrich import lookup, one_per_key
 from reckoner.operators.filters import parsed_only
+from reckoner.operators.partials import Partials
 from reckoner.operators.rank import by_text_key
 from reckoner.operators.sets import union_all
+from reckoner.operators.skew import hot_keys, lookup_skewed
 from reckoner.operators.tokens import explode_list
 from reckoner.plans import orders, ratings, reviews
 from reckoner.sinks import reports
 from reckoner.sinks.writers import delimited_lines
+from reckoner.sources.quarantine import parse_apart
+from reckoner.sources.staging import new_folder
 from reckoner.sources.text import Dialect, first_field, parse_declared, parse_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -165,6 +169,33 @@ def lookup_salted(s: Star) -> DataFrame:
     return found.groupBy("gender").agg(F.count("*").alias("n"), F.sum("rating").alias("total"))
 
 
+def lookup_hot_keys(s: Star) -> DataFrame:
+    people = s.users().select("user_id", "gender")
+    found = lookup_skewed(s.ratings_of_a_hot_user(), people, "user_id", {"gender": ratings.UNKNOWN})
+    return found.groupBy("gender").agg(F.count("*").alias("n"), F.sum("rating").alias("total"))
+
+
+def hot_user(s: Star) -> DataFrame:
+    return hot_keys(s.ratings_of_a_hot_user(), "user_id", 0.2).select("user_id")
+
+
+def movie_avg_from_partials(s: Star) -> DataFrame:
+    """Two files into a new state, the first twice, then folded."""
+    state = Partials(s.spark, new_folder(s.spark, "partials"), ["movie_id"], "rating", "movie_id bigint, total double")
+    items, sizes = s.rating_parts()
+    for batch, part in (("items", items), ("sizes", sizes), ("items", items)):
+        state.add(part, batch)
+    state.fold(["items", "sizes"], "both")
+    return state.means("avg_rating", "n_ratings")
+
+
+LINE_SCHEMA = "user_id bigint, movie_id bigint, rating int"
+
+
+def lines_apart(s: Star) -> tuple[DataFrame, DataFrame]:
+    return parse_apart(s.rating_lines(), LINE_SCHEMA, Dialect(trim=True), ["user_id"])
+
+
 def age_buckets(s: Star) -> DataFrame:
     labels = s.all_users().select(
         bucket(F.col("age"), FOUR_AGES).alias("four"), bucket(F.col("age"), SEVEN_AGES).alias("seven")
@@ -282,6 +313,11 @@ _BUILDERS: dict[str, Callable[[Star], DataFrame]] = {
     "scan_first_field": scan_first_field,
     "scan_declared_no_quotes": scan_declared_no_quotes,
     "lookup_salted": lookup_salted,
+    "lookup_hot_keys": lookup_hot_keys,
+    "hot_user": hot_user,
+    "scan_good_rows": lambda s: lines_apart(s)[0],
+    "scan_quarantined_rows": lambda s: lines_apart(s)[1],
+    "q_movie_avg_from_partials": movie_avg_from_partials,
     "age_buckets": age_buckets,
     "union_all_parts": union_all_parts,
     "distinct_pairs": distinct_pairs,

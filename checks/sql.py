@@ -337,6 +337,23 @@ SQL: dict[str, str] = {
     "lookup_salted": _with(_USERS)
     + """SELECT coalesce(u.gender, 'Unknown') AS gender, count(*) AS n, sum(l.l_quantity) AS total
          FROM lineitem l LEFT JOIN users u ON l.l_orderkey = u.user_id GROUP BY 1""",
+    "lookup_hot_keys": _with(_USERS)
+    + """SELECT coalesce(u.gender, 'Unknown') AS gender, count(*) AS n, sum(l.rating) AS total
+         FROM (SELECT CASE WHEN l_orderkey % 9 < 3 THEN 1 WHEN l_orderkey % 9 > 3 THEN l_orderkey END AS user_id, l_quantity AS rating
+               FROM lineitem) l LEFT JOIN users u USING (user_id) GROUP BY 1""",
+    "hot_user": """
+        WITH l AS (SELECT CASE WHEN l_orderkey % 9 < 3 THEN 1 WHEN l_orderkey % 9 > 3 THEN l_orderkey END AS user_id FROM lineitem)
+        SELECT user_id FROM l WHERE user_id IS NOT NULL GROUP BY user_id HAVING count(*) >= 0.2 * (SELECT count(*) FROM l)""",
+    "q_movie_avg_from_partials": _with(_PARTS)
+    + "SELECT movie_id, avg(rating) AS avg_rating, count(rating) AS n_ratings FROM parts GROUP BY movie_id",
+    "scan_good_rows": """
+        SELECT l_orderkey AS user_id, l_partkey AS movie_id, CAST(l_suppkey AS INTEGER) AS rating FROM lineitem WHERE l_linenumber < 5
+        """,
+    "scan_quarantined_rows": """
+        SELECT CASE l_linenumber WHEN 5 THEN 'fields: 2' WHEN 6 THEN 'number: rating' ELSE 'empty: user_id' END AS problem,
+               CASE l_linenumber WHEN 5 THEN concat(l_orderkey, ', ', l_partkey) WHEN 6 THEN concat(l_orderkey, ', ', l_partkey, ', n/a')
+                                 ELSE concat(', ', l_partkey, ', ', l_suppkey) END AS value, l_returnflag AS file
+        FROM lineitem WHERE l_linenumber >= 5""",
     "age_buckets": _with(_ALL_USERS)
     + f"""SELECT CASE WHEN u.age <= 18 THEN '0-18' WHEN u.age <= 35 THEN '18-35' WHEN u.age <= 50 THEN '35-50'
                      ELSE '50+' END AS four,

@@ -46,6 +46,19 @@ class Star:
             epoch.alias("rated_at"),
         )
 
+    def ratings_of_a_hot_user(self) -> DataFrame:
+        """One user gave a third of all ratings, and none of another ninth names its user."""
+        part = F.col("user_id") % 9
+        user = F.when(part < 3, 1).when(part > 3, F.col("user_id"))
+        return self.ratings().withColumn("user_id", user.cast("bigint")).select("user_id", "movie_id", "rating")
+
+    def rating_lines(self) -> DataFrame:
+        """Line items as lines: those of number 5 lack a field, 6 a number, 7 the user."""
+        number = F.col("l_linenumber")
+        user = F.when(number == 7, "").otherwise(F.col("l_orderkey").cast("string"))
+        rating = F.when(number == 6, "n/a").when(number != 5, F.col("l_suppkey").cast("string"))
+        return self.table("lineitem").select(F.concat_ws(", ", user, F.col("l_partkey").cast("string"), rating).alias("value"), F.col("l_returnflag").alias("file"))
+
     def rating_parts(self) -> list[DataFrame]:
         """Two sets, as if read from two files: line items, and the size of every part as one more rating."""
         sizes = self.table("part").select(

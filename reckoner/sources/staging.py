@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,21 @@ def stage(df: DataFrame, folder: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own, not yet made, in the session's ``spark.checkpoint.dir``.
+
+    Only a session on one machine may leave that unset; the folder is a temporary
+    one then.
+    """
+    folder = spark.conf.get(SETTING, None)
+    if folder is None:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set {SETTING} to a folder that all executors share")
+        folder = f"file://{tempfile.mkdtemp(prefix='reckoner-')}"
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def clean(spark: SparkSession) -> None:
     """Remove the files of all stages so far; their DataFrames are gone then."""
     while _staged:
