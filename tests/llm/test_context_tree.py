@@ -27,7 +27,7 @@ def tokens(text):
 class Brute:
     """The weighted tree by recursion over dictionaries."""
 
-    def __init__(self, texts, share):
+    def __init__(self, texts, least):
         self.counts = defaultdict(Counter)
         for text in texts:
             data = " ".join(t for t in tokens(text) if t is not None).encode() + b"\xff"
@@ -36,8 +36,8 @@ class Brute:
                 past = padded[i : i + context_tree.DEPTH][::-1]
                 for d in range(context_tree.DEPTH + 1):
                     self.counts[past[:d]][data[i]] += 1
-        least = max(2.0, share * sum(self.counts[b""].values()))
-        self.kept = {c for c, n in self.counts.items() if len(c) <= 1 or sum(n.values()) >= least}
+        self.kept = {c for c, n in self.counts.items() if not c or sum(n.values()) >= least}
+        self.known = {}
         self.below = defaultdict(list)
         for c in self.kept:
             if c:
@@ -62,6 +62,11 @@ class Brute:
         return rest
 
     def weighted(self, context, node):
+        if (context, node) not in self.known:
+            self.known[context, node] = self.weight(context, node)
+        return self.known[context, node]
+
+    def weight(self, context, node):
         own = self.estimate(*self.bits(self.counts[context], node))[0]
         if not self.below[context]:
             return own
@@ -78,7 +83,7 @@ class Brute:
         if child in self.kept and depth < context_tree.DEPTH:
             below = self.one(past, node, depth + 1)
         else:
-            below = 0.5 if not context and child not in self.counts else self.estimate(*self.bits(self.rest(context), node))[1]
+            below = self.estimate(*self.bits(self.rest(context), node))[1]
         return stop * kt + (1 - stop) * below
 
     def score(self, text):
@@ -92,20 +97,95 @@ class Brute:
         return out
 
 
-@pytest.mark.parametrize("share", [0.0, 0.02])
-def test_tree_equals_recursion(spark, share):
-    rng = random.Random(3)
-    texts = [" ".join(rng.choice(["ab", "abc", "Ba", "c é"]) for _ in range(rng.randrange(1, 9))) for _ in range(12)]
-    tree = context_tree.learn(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3), share)
-    brute = Brute(texts, share)
-    asked = ["ab abc", "", "zz ab", "abca é  Ba\n", "ab"]
-    got = tree.scores(*text_column(pa.array(asked)))
-    assert got == pytest.approx([brute.score(t) for t in asked], rel=1e-4)
+TEXTS = ["ab abc", "", "zz ab", "abca é  Ba\n", "ab", None, "abc " * 40]
 
 
-def test_bytes_sum_to_one(spark):
-    tree = context_tree.learn(spark.createDataFrame([("a b a c abab",), ("ca ba",)], "text string"), 0.0)
-    assert np.allclose((10.0 ** tree.log10.astype(float)).sum(1), 1, atol=1e-4)
+def fixture(spark):
+    """Texts that teach, and others that do not."""
+    rng = random.Random(3)
+    ids = {flag: [i for i in range(400) if held_out(i) == flag] for flag in (True, False)}
+    taught = [" ".join(rng.choice(["ab", "abc", "Ba", "c é", "éa,b"]) for _ in range(rng.randrange(1, 9))) for _ in range(40)]
+    rows = list(zip(ids[False], taught, strict=False)) + list(zip(ids[True], TEXTS, strict=False))
+    return rows, taught, spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+
+@pytest.mark.parametrize("least", [2, 9])
+def test_tree_equals_recursion(spark, monkeypatch, least):
+    """One tree, in one piece and split over buckets."""
+    _, taught, _ = fixture(spark)
+    monkeypatch.setattr(context_tree, "LEAST", least)
+    brute = Brute(taught, least)
+    keys, counts = np.unique(context_tree.context_keys(*text_column(pa.array(taught)))[0], return_counts=True)
+    whole = context_tree.spread(context_tree.weigh(0, context_tree.DEPTH, keys, counts, (keys, counts)))
+    for text in TEXTS:
+        asked, _ = context_tree.context_keys(*text_column(pa.array([text], pa.string())))
+        assert context_tree.log10_of(whole, asked).sum() == pytest.approx(brute.score(text), rel=1e-9)
+    parts = local_parts(keys, counts)
+    assert len(parts) > 5
+    for text in TEXTS:
+        asked, _ = context_tree.context_keys(*text_column(pa.array([text], pa.string())))
+        bucket = context_tree._context_bucket(64)(asked)
+        got = sum(context_tree.log10_of(parts.get(b, parts[None]), asked[bucket == b]).sum() for b in np.unique(bucket).tolist())
+        assert got == pytest.approx(brute.score(text), rel=1e-9)
+
+
+def local_parts(keys, counts):
+    """All levels by bucket, built from what each bucket tells the top."""
+    split = list(tally.split(keys, counts, context_tree._context_bucket(64)))
+    told = list(context_tree._for_top([tally.rows_of(split)]))
+    table = pa.Table.from_batches(told).group_by("key").aggregate([("n", "sum"), ("rest", "sum"), ("log_p", "sum")]).sort_by("key")
+    key, n, rest, log_p = (table[c].to_numpy() for c in ("key", "n_sum", "rest_sum", "log_p_sum"))
+    key = key.view(np.uint64)
+    high = context_tree.SPLIT - 1
+    top = context_tree.spread(
+        context_tree.weigh(0, high, key[n > 0], n[n > 0], (key[rest > 0], rest[rest > 0]), (key[log_p != 0], log_p[log_p != 0]))
+    )
+    out = {b: top | context_tree.spread(context_tree.part_of_tree([tally.pack(k, c)]), top[high]) for b, k, c in split}
+    out[None] = top | context_tree.spread(context_tree.part_of_tree([]), top[high])
+    return out
+
+
+def test_job_equals_recursion(spark):
+    rows, taught, docs = fixture(spark)
+    brute = Brute(taught, context_tree.LEAST)
+    got = {r.doc_id: r for r in context_tree.score(docs).collect()}
+    assert len(got) == len(rows)
+    for doc_id, text in rows:
+        want = brute.score(text)
+        n = len(" ".join(t for t in tokens(text) if t is not None).encode()) + 1
+        assert got[doc_id].score == pytest.approx(want, rel=1e-5)
+        assert got[doc_id].bits_per_byte == pytest.approx(-want / math.log10(2) / n, rel=1e-5)
+
+
+def test_without_training_every_bit_is_a_half(spark):
+    ids = [i for i in range(100) if held_out(i)][:2]
+    docs = spark.createDataFrame([(ids[0], "abc"), (ids[1], None)], "doc_id long, text string")
+    assert [r.bits_per_byte for r in context_tree.score(docs).collect()] == pytest.approx([8.0, 8.0])
+
+
+def test_bytes_sum_to_one():
+    keys, counts = np.unique(context_tree.context_keys(*text_column(pa.array(["a b a c abab", "ca ba"])))[0], return_counts=True)
+    whole = context_tree.spread(context_tree.weigh(0, context_tree.DEPTH, keys, counts, (keys, counts)))
+    for key in [*keys.tolist(), 0x6162636465 << 8]:
+        every = np.uint64(key >> 8 << 8) + np.arange(256, dtype=np.uint64)
+        assert (10 ** context_tree.log10_of(whole, every)).sum() == pytest.approx(1)
+
+
+def test_more_text_keeps_more_contexts(spark):
+    """Contexts, and the buckets they lie in, grow with the corpus."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    kept = []
+    for texts in (docs.filter("doc_id % 4 = 0"), docs):
+        counts, _ = context_tree.learn(texts, 1 << 22)
+        kept.append(sum(len(context_tree.part_of_tree([(bytes(r["keys"]), bytes(r["counts"]))])[5].contexts) for r in counts.collect()))
+    assert kept[1] > 1.3 * kept[0]
+    assert context_tree.buckets_for(30 << 30) > 5 * context_tree.buckets_for(1 << 29)
+
+
+def test_parts_of_a_long_text_and_many_empty_ones(spark, edge):
+    parts = edge.select("doc_id", "text").selectExpr("doc_id", "coalesce(text, '') text")
+    rows = parts.mapInArrow(context_tree._in_parts, "doc_id long, text string, part long").collect()
+    assert len(rows) == edge.count()
 
 
 def check_base(docs):
