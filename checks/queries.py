@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from checks.star import Star
 from reckoner.functions.buckets import FOUR_AGES, SEVEN_AGES, bucket
 from reckoner.functions.numbers import fixed2_binary, fixed2_half_up
+from reckoner.operators import distinct
 from reckoner.operators.enrich import lookup, one_per_key
 from reckoner.operators.filters import parsed_only
 from reckoner.operators.partials import Partials
@@ -20,6 +21,7 @@ from reckoner.operators.tokens import explode_list
 from reckoner.plans import orders, ratings, reviews
 from reckoner.sinks import reports
 from reckoner.sinks.writers import delimited_lines
+from reckoner.sources.bags import parse_bags
 from reckoner.sources.quarantine import parse_apart
 from reckoner.sources.staging import new_folder
 from reckoner.sources.text import Dialect, first_field, parse_declared, parse_lines
@@ -237,6 +239,29 @@ def nested_bag_lines(s: Star) -> DataFrame:
     return delimited_lines(reviews.nested_top_words(top_words_all(s)), ";")
 
 
+BAG_SCHEMA = "aspect string, word string, n bigint"
+
+
+def nested_bag_read_back(s: Star) -> DataFrame:
+    """The written bags, read again, a row per word; lines that cannot be read for sure have a reason instead."""
+    read = parse_bags(nested_bag_lines(s), "category", "words", BAG_SCHEMA)
+    return read.select("category", "reason", F.explode_outer("words").alias("w")).select("category", "reason", "w.word", "w.n")
+
+
+def totals_from_sketches(s: Star) -> DataFrame:
+    """Distinct customers and sellers, exact, and whether sketches merged over months stay within their error."""
+    bought = s.orders().withColumn("month", F.date_trunc("month", "purchased_at"))
+    shipped = s.items().withColumn("month", F.date_trunc("month", "ship_limit"))
+    exact = orders.order_totals(s.orders(), s.items()).filter("metric <> 'orders'")
+    parts = [
+        distinct.sketches(bought, ["month"], "customer_id").withColumn("metric", F.lit("customers")),
+        distinct.sketches(shipped, ["month"], "seller_id").withColumn("metric", F.lit("sellers")),
+    ]
+    sketched = distinct.estimates(distinct.merged(union_all([p.select("metric", "sketch", "has_null") for p in parts]), ["metric"]), "sketched")
+    within = F.abs(F.col("sketched") - F.col("total")) <= F.ceil(F.col("total") * distinct.error_bound())
+    return exact.join(sketched, "metric").select("metric", "total", within.alias("within_bound"))
+
+
 _BUILDERS: dict[str, Callable[[Star], DataFrame]] = {
     # Ratings
     "q_movie_avg_outer": movie_avg_outer,
@@ -326,6 +351,8 @@ _BUILDERS: dict[str, Callable[[Star], DataFrame]] = {
     "key_value_lines": key_value_lines,
     "semicolon_lines": semicolon_lines,
     "nested_bag_lines": nested_bag_lines,
+    "nested_bag_read_back": nested_bag_read_back,
+    "q_totals_from_sketches": totals_from_sketches,
 }
 
 QUERIES: dict[str, Query] = {name: _on_star(build) for name, build in _BUILDERS.items()}

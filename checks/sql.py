@@ -371,4 +371,8 @@ SQL: dict[str, str] = {
     "nested_bag_lines": _with(_REVIEWS, _WORDS, _top_words("true"))
     + """SELECT category || ';{' || string_agg('(' || category || ',' || word || ',' || cnt || ')', ',' ORDER BY "rank")
              || '}' AS line FROM top_words GROUP BY category""",
+    "nested_bag_read_back": _with(_REVIEWS, _WORDS, _top_words("true"))
+    + "SELECT category, CAST(NULL AS VARCHAR) AS reason, word, cnt AS n FROM top_words",
+    "q_totals_from_sketches": _with(_TOTALS)
+    + "SELECT metric, total, true AS within_bound FROM totals WHERE metric <> 'orders'",
 }
