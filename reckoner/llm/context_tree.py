@@ -37,6 +37,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -340,13 +341,14 @@ class Answers:
     def __init__(self, answers: pa.Table):
         keys = [np.cumsum(np.frombuffer(k, U64), dtype=U64) for k in answers["keys"].to_pylist()]
         log10 = [np.frombuffer(v, np.float32) for v in answers["log10"].to_pylist()]
-        self.keys, first = np.unique(np.concatenate(keys) if keys else np.zeros(0, U64), return_index=True)
+        keys, first = np.unique(np.concatenate(keys) if keys else np.zeros(0, U64), return_index=True)
+        self.places = pd.Index(keys)  # by hash: twice as fast as a binary search
         self.log10 = (np.concatenate(log10) if log10 else np.zeros(0, np.float32))[first]
 
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log10 probability of each text, and the bytes scored, the end mark among them."""
         keys, ends = context_keys(data, offsets)
-        p = self.log10[np.searchsorted(self.keys, keys)]
+        p = self.log10[self.places.get_indexer(keys)]
         return np.diff(np.r_[0.0, np.cumsum(p, dtype=float)][ends]), np.diff(ends)
 
 
