@@ -160,32 +160,32 @@ def _has_letter(column, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return found
 
 
-def _judge(column, known: Filters) -> tuple[pa.Array, np.ndarray]:
-    """Predicted languages and scores of a column of texts."""
+def _judge(column, known: Filters) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Predicted languages, scores, and numbers of n-grams of a column of texts."""
     column = _lower(column)
     data, offsets = text_column(column)
     letters = _has_letter(column, data, offsets)
-    best, score = np.zeros(len(column), np.int64), np.zeros(len(column))
+    best, score, n_grams = np.zeros(len(column), np.int64), np.zeros(len(column)), np.zeros(len(column), np.int64)
     if known.languages:
         for first, end, part, own in slices(data, offsets):
             n, held = known.counts(part, own)
-            best[first:end] = held.argmax(1)
+            best[first:end], n_grams[first:end] = held.argmax(1), n
             score[first:end] = (held.max(1) / n.clip(1)).clip(0, 1)
     names = pa.array([*known.languages, "und"], pa.string())
     best = np.where(letters & (len(known.languages) > 0), best, len(known.languages))
-    return names.take(pa.array(best)), np.where(best < len(known.languages), score, 0.0)
+    return names.take(pa.array(best)), np.where(best < len(known.languages), score, 0.0), n_grams
 
 
 def prediction(docs: DataFrame, filters: Filters):
-    """A function from a text column to (lang_pred, score)."""
+    """A function from a text column to (lang_pred, score, n_grams); without an n-gram the score is no evidence."""
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(filters)
 
-    @F.arrow_udf("struct<lang_pred:string,score:double>")
+    @F.arrow_udf("struct<lang_pred:string,score:double,n_grams:long>")
     def judged(texts: pa.Array) -> pa.Array:
-        names, scores = _judge(texts, shared.value)
-        return pa.StructArray.from_arrays([names, pa.array(scores)], ["lang_pred", "score"])
+        names, scores, n_grams = _judge(texts, shared.value)
+        return pa.StructArray.from_arrays([names, pa.array(scores), pa.array(n_grams)], ["lang_pred", "score", "n_grams"])
 
     return judged
 

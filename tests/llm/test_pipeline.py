@@ -31,6 +31,7 @@ def test_stages_on_edges(spark, edge, empty):
     ids = lambda df: sorted(str(r.doc_id) for r in df.select("doc_id").collect())
     kept = stages["language_id"](spark, edge, SF)
     assert kept.columns == edge.columns and not {"3", "4", "5", "6"} & set(ids(kept)) and "100" in ids(kept)
+    assert "8" in ids(kept)  # a letter, but too short for an n-gram: nothing speaks against it
     for name in ("exact_dedup", "near_dedup"):
         kept = stages[name](spark, edge, SF)
         assert kept.columns == edge.columns and ids(kept).count("1") == 1 and "2" not in ids(kept) and "7" in ids(kept)
