@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from reckoner.llm import decontaminate, exact_dedup, language, minhash, mixing
 from reckoner.llm.shared import written
 
-# The share of its n-grams that the language of a kept document must hold.
+# The share of its n-grams that the language of a kept document must hold, if it has any.
 KNOWN_SHARE = 0.3
 
 
@@ -52,7 +52,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents without a letter, or in no learned language, go."""
     filters = language.learn(docs)
     judged = docs.withColumn("_language", language.prediction(docs, filters)(F.col("text").cast("string")))
-    known = (F.col("_language.lang_pred") != "und") & (F.col("_language.score") >= KNOWN_SHARE)
+    foreign = (F.col("_language.n_grams") > 0) & (F.col("_language.score") < KNOWN_SHARE)
+    known = (F.col("_language.lang_pred") != "und") & ~foreign
     return judged.filter(known).select(docs.columns)
 
 
