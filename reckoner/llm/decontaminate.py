@@ -18,7 +18,9 @@ splits.
 Cases: NULL and texts without words have no hits and no words. Repeated rows
 and rows that share an id are judged each on its own. An item without words, or
 a NULL item, is in no document. Items that share a text all count; rows that
-share an ``item_id`` count as one item.
+share an ``item_id`` count as one item. An ``item_id`` may be of any type and
+is carried as text; the words of an item whose id is NULL are hit, but it is
+not among the items.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ WINDOW = 10
 SHINGLE = 3
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
-WINDOWS = "item_id long, words array<binary>, shingles array<long>"
+WINDOWS = "item_id string, words array<binary>, shingles array<long>"
 PLACES = "text_key long, n_words long, places array<struct<shingle:long,place:int,left:int,words:array<binary>>>"
 
 
@@ -61,14 +63,14 @@ def _windows(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
                 words.append(window)
                 shingles.append(_hashes_of(window).view(np.int64).tolist())
         yield pa.record_batch(
-            [pa.array(ids, pa.int64()), pa.array(words, pa.list_(pa.binary())), pa.array(shingles, pa.list_(pa.int64()))],
+            [pa.array(ids, pa.string()), pa.array(words, pa.list_(pa.binary())), pa.array(shingles, pa.list_(pa.int64()))],
             names=["item_id", "words", "shingles"],
         )
 
 
 def item_windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
     """One row per distinct window: its words, the hashes of its shingles in order, and its items."""
-    rows = items.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
+    rows = items.select(F.col("item_id").cast("string"), F.col("text").cast("string"))
     windows = rows.mapInArrow(lambda batches: _windows(batches, size), WINDOWS)
     return windows.groupBy("words", "shingles").agg(F.collect_set("item_id").alias("items"))
 
@@ -166,7 +168,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
     covered = hits.select("row_id", F.explode(F.sequence("start", F.col("start") + F.col("length") - 1)).alias("word"))
     n_hit = covered.distinct().groupBy("row_id").agg(F.count("*").alias("n_hit"))
     of_row = hits.select("row_id", F.explode("items").alias("item")).distinct()
-    of_row = of_row.groupBy("row_id").agg(F.sort_array(F.collect_list(F.col("item").cast("string"))).alias("items"))
+    of_row = of_row.groupBy("row_id").agg(F.sort_array(F.collect_list("item")).alias("items"))
     return (
         found.select("row_id", "doc_id", "text_key", "n_words")
         .join(n_hit.join(of_row, "row_id", "left"), "row_id", "left")

@@ -46,6 +46,14 @@ def test_random_texts_of_few_words(spark):
     assert result(d, spark.createDataFrame(items, "item_id long, text string")) == brute(docs, items)
 
 
+def test_items_with_text_ids(spark):
+    """Ids need not be numbers; they sort as text, and one that is NULL names no item."""
+    items = [("q-10", "a b c"), ("q-9", "b c"), ("é", "c"), ("10", "a b"), ("9", "a b"), (None, "z")]
+    docs = spark.createDataFrame([(1, "a b c"), (2, "z")], "doc_id long, text string")
+    found = decontaminate.decontaminate(docs, spark.createDataFrame(items, "item_id string, text string"))
+    assert sorted((r.doc_id, r.n_hit, r["items"]) for r in found.collect()) == [(1, 3, ["10", "9", "q-10", "q-9", "é"]), (2, 1, [])]
+
+
 def test_edges(spark, edge):
     docs = [(r.doc_id, r.text) for r in edge.collect()]
     items = [(1, docs[0][1]), (2, "word5 and word6 and word7 and word8 and word9 and word10"), (3, "straße")]
