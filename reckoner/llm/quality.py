@@ -6,10 +6,13 @@ document's probability comes from the mean and the maximum of its chunks. A
 filter is five tables of 256 values, so a response is five lookups.
 
 Learning takes a bounded sample: at most ``SAMPLE`` labelled rows of each label,
-the smallest by a hash, of texts of at most ``LONGEST`` bytes, weighted back to
-the labels' shares among all rows. Held-out rows are never learned from. The
-sample is learned on the driver; scoring is done in tasks, in blocks of fixed
-size, whatever the length of a text. The weights, some 80 KB, are broadcast.
+the smallest by a hash, of texts of every length, weighted back to the labels'
+shares among all rows. A text over ``LONGEST`` characters teaches by ``PIECES``
+runs of it, evenly spaced from its start to its end and ``LONGEST`` characters
+in all, cut in the tasks, so the sample is at most ``2 * SAMPLE * LONGEST``
+characters. Held-out rows are never learned from. The sample is learned on the
+driver; scoring is done in tasks over whole texts, in blocks of fixed size,
+whatever the length of a text. The weights, some 80 KB, are broadcast.
 
 Cases: NULL and empty texts have no chunk and get the probability of zeros.
 Labels that are NULL or whose document is missing are not learned from;
@@ -30,7 +33,7 @@ from reckoner.llm.bytewords import slices, text_column
 from reckoner.llm.shared import ship, written
 
 WIDTH, FILTERS, BLOCK = 5, 16, 256
-SAMPLE, LONGEST = 2500, 20_000
+SAMPLE, LONGEST, PIECES = 2500, 1 << 15, 16
 EPOCHS, BATCH, RATE, SEED = 6, 32, 0.02, 7
 POSITIONS = 1 << 16
 
@@ -154,8 +157,16 @@ def train(texts: list[bytes], labels: np.ndarray, weights: np.ndarray, prior: fl
     return net
 
 
+def pieces_of(text: Column, longest: int) -> Column:
+    """The text, or of one over ``longest`` characters ``PIECES`` runs evenly spaced from its start to its end."""
+    size, run = F.char_length(text), longest // PIECES
+    starts = F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), lambda i: F.floor(i * (size - run) / (PIECES - 1)).cast("int"))
+    runs = F.transform(starts, lambda start: text.substr(start + 1, F.lit(run)))
+    return F.when(size <= longest, text).otherwise(F.concat_ws(" ", runs))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, longest: int):
-    """A bounded sample of texts with labels, weights that restore the labels' shares, and the share of label 1."""
+    """A bounded sample of texts with labels, weights that restore the labels' shares, and the number of rows of each label."""
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).filter(F.col("label").isin(0, 1)).distinct()
     rows = docs.filter(F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", F.col("text").cast("string").alias("text"))
     sized = rows.select("doc_id", F.octet_length("text").alias("size"), F.xxhash64("text").alias("key")).filter("size > 0")
@@ -163,13 +174,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, l
     counts = {r[0]: r[1] for r in joined.groupBy("label").agg(F.count("*")).collect()}
     picked = []
     for value in (0, 1):
-        own = joined.filter((F.col("label") == value) & (F.col("size") <= longest)).orderBy("order", "key").limit(most)
+        own = joined.filter(F.col("label") == value).orderBy("order", "key").limit(most)
         picked += own.select("doc_id", "key", "label").collect()
     if not picked:
         return [], np.zeros(0), np.zeros(0), counts
     chosen = docs.sparkSession.createDataFrame(picked, joined.select("doc_id", "key", "label").schema)
     found = rows.withColumn("key", F.xxhash64("text")).join(F.broadcast(chosen), ["doc_id", "key"])
-    table = found.dropDuplicates(["doc_id", "key", "label"]).select("text", "label", "key").orderBy("key", "label").toArrow()
+    cut = found.select("doc_id", "key", "label", pieces_of(F.col("text"), longest).alias("text"))
+    table = cut.dropDuplicates(["doc_id", "key", "label"]).select("text", "label", "key").orderBy("key", "label").toArrow()
     y = table["label"].to_numpy().astype(float)
     share = np.array([counts.get(v, 0) for v in (0, 1)]) / max(1, sum(counts.values()))
     drawn = np.array([(y == v).mean() if len(y) else 1 for v in (0, 1)])

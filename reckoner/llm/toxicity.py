@@ -8,9 +8,11 @@ both directions, attention pools their states to a logit, and the document
 takes its strongest window.
 
 Learning takes a bounded sample: at most ``SAMPLE`` labelled rows of each label,
-the smallest by a hash, of texts of at most ``LONGEST`` bytes, weighted back to
-the labels' shares. Held-out rows are never learned from. In learning, the
-windows of a document share its gradient by the softmax of their logits.
+the smallest by a hash, of texts of every length, weighted back to the labels'
+shares. A text over ``LONGEST`` characters teaches by evenly spaced runs of it,
+``LONGEST`` characters in all (``quality.pieces_of``). Held-out rows are never
+learned from. In learning, the windows of a document share its gradient by the
+softmax of their logits.
 The sample is learned on the driver; scoring is done in tasks over blocks of
 windows of fixed size. The model, some 4 MB, is broadcast.
 
@@ -36,7 +38,7 @@ SPAN, STRIDE = 32, 24
 SIZE, HIDDEN, ATTENTION = 8, 8, 8
 LOG2_WORDS, LOG2_GRAMS = 15, 16
 GRAMS = (4, 5)
-SAMPLE, LONGEST = 1500, 8_000
+SAMPLE, LONGEST = 1500, 1 << 15
 EPOCHS, BATCH, RATE, SEED = 5, 24, 0.02, 11
 WINDOWS = 8192
 U64 = np.uint64
