@@ -13,6 +13,7 @@ from reckoner.functions.numbers import fixed2_binary, fixed2_half_up
 from reckoner.operators import distinct
 from reckoner.operators.enrich import lookup, one_per_key
 from reckoner.operators.filters import parsed_only
+from reckoner.operators.observed import SideResults
 from reckoner.operators.partials import Partials
 from reckoner.operators.rank import by_text_key
 from reckoner.operators.sets import union_all
@@ -20,10 +21,10 @@ from reckoner.operators.skew import hot_keys, lookup_skewed
 from reckoner.operators.tokens import explode_list
 from reckoner.plans import orders, ratings, reviews
 from reckoner.sinks import reports
-from reckoner.sinks.writers import delimited_lines
+from reckoner.sinks.writers import delimited_lines, write_lines
 from reckoner.sources.bags import parse_bags
 from reckoner.sources.quarantine import parse_apart
-from reckoner.sources.staging import new_folder
+from reckoner.sources.staging import new_folder, stage_by_key
 from reckoner.sources.text import Dialect, first_field, parse_declared, parse_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -191,6 +192,27 @@ def movie_avg_from_partials(s: Star) -> DataFrame:
     return state.means("avg_rating", "n_ratings")
 
 
+def best_movie_seen(s: Star) -> DataFrame:
+    """The best movie and the numbers of movies with and without a title, known when all lines are written."""
+    counts = {"n_movies": F.count("*"), "n_untitled": F.count(F.when(F.col("title") == ratings.UNTITLED, 1))}
+    side = SideResults(ratings.best_movie_metrics(MIN_SUPPORT, positive_only=True) | counts)
+    write_lines(reports.movie_pairs(side.watch(by_text_key(movie_avg_outer(s), "movie_id"))), new_folder(s.spark, "observed"))
+    values = side.values()
+    best = ratings.best_movie_seen(s.spark, values)
+    return best.select("*", *[F.lit(values[c]).cast("bigint").alias(c) for c in counts])
+
+
+def staged_by_order(s: Star) -> tuple[DataFrame, DataFrame]:
+    """Orders and items, both staged by order."""
+    delivered = s.orders().select("order_id", "customer_id", "delivered_at")
+    shipped = s.items().select("order_id", "seller_id", "ship_limit")
+    return stage_by_key(delivered, ["order_id"]), stage_by_key(shipped, ["order_id"])
+
+
+def delivery_delay_of_staged(s: Star) -> DataFrame:
+    return orders.delivery_delay(*staged_by_order(s))
+
+
 LINE_SCHEMA = "user_id bigint, movie_id bigint, rating int"
 
 
@@ -303,6 +325,8 @@ _BUILDERS: dict[str, Callable[[Star], DataFrame]] = {
     "q_delivery_delay": lambda s: orders.delivery_delay(s.orders(), s.items()),
     "q_customer_segments": lambda s: orders.customer_segments(s.orders()),
     "q_segment_sizes": lambda s: orders.segment_sizes(orders.customer_segments(s.orders())),
+    "q_segments_by_share": lambda s: orders.customer_segments_by_share(s.orders()),
+    "q_customer_tiles": lambda s: orders.customer_tiles(s.orders()).withColumn("value", F.col("value").cast("double")),
     "q_seller_ranking": lambda s: orders.seller_ranking(s.items()).withColumn(
         "revenue", F.col("revenue").cast("double")
     ),
@@ -343,6 +367,8 @@ _BUILDERS: dict[str, Callable[[Star], DataFrame]] = {
     "scan_good_rows": lambda s: lines_apart(s)[0],
     "scan_quarantined_rows": lambda s: lines_apart(s)[1],
     "q_movie_avg_from_partials": movie_avg_from_partials,
+    "best_movie_seen": best_movie_seen,
+    "delivery_delay_of_staged": delivery_delay_of_staged,
     "age_buckets": age_buckets,
     "union_all_parts": union_all_parts,
     "distinct_pairs": distinct_pairs,

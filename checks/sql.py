@@ -117,6 +117,25 @@ _SEGMENTS = """segments AS (
                      / (date_diff('day', min(o_orderdate), max(o_orderdate)) + 1) AS orders_per_30_days
           FROM orders GROUP BY o_custkey))"""
 
+# Limits are the least values that nine tenths of all customers do not exceed.
+_SEGMENTS_BY_SHARE = (
+    _SEGMENTS.replace("segments AS", "measured AS")
+    + """, limits AS (
+    SELECT max(n) FILTER (a = c) AS many, max(v) FILTER (b = c) AS high, max(f) FILTER (d = c) AS often
+    FROM (SELECT n_orders AS n, avg_order_value AS v, orders_per_30_days AS f,
+                 row_number() OVER (ORDER BY n_orders) AS a, row_number() OVER (ORDER BY avg_order_value) AS b,
+                 row_number() OVER (ORDER BY orders_per_30_days) AS d, CAST(ceil(0.9 * count(*) OVER ()) AS BIGINT) AS c
+          FROM measured)),
+segments AS (
+    SELECT customer_id, n_orders, avg_order_value, orders_per_30_days,
+           CASE WHEN n_orders = 1 THEN 'one-time'
+                WHEN (n_orders >= many OR orders_per_30_days >= often) AND avg_order_value >= high THEN 'loyal high-value'
+                WHEN n_orders >= many OR orders_per_30_days >= often THEN 'loyal'
+                WHEN avg_order_value >= high THEN 'high-value'
+                ELSE 'occasional' END AS segment
+    FROM measured, limits)"""
+)
+
 
 def _best(means: str, support: int, positive: str = "AND avg_rating > 0 ") -> str:
     return (
@@ -260,6 +279,12 @@ SQL: dict[str, str] = {
     "q_customer_segments": _with(_SEGMENTS) + "SELECT * FROM segments",
     "q_segment_sizes": _with(_SEGMENTS)
     + "SELECT segment, count(*) AS n_customers FROM segments GROUP BY segment",
+    "q_segments_by_share": _with(_SEGMENTS_BY_SHARE) + "SELECT * FROM segments",
+    "q_customer_tiles": """
+        SELECT customer_id, CAST(value AS DOUBLE) AS value,
+               ntile(10) OVER (ORDER BY value DESC, customer_id DESC) AS tile
+        FROM (SELECT o_custkey AS customer_id, sum(CAST(o_totalprice AS DECIMAL(14, 2))) AS value
+              FROM orders GROUP BY o_custkey)""",
     "q_seller_ranking": """
         SELECT seller_id, CAST(revenue AS DOUBLE) AS revenue, n_orders,
                rank() OVER (ORDER BY revenue DESC, n_orders DESC) AS seller_rank
@@ -375,4 +400,8 @@ SQL: dict[str, str] = {
     + "SELECT category, CAST(NULL AS VARCHAR) AS reason, word, cnt AS n FROM top_words",
     "q_totals_from_sketches": _with(_TOTALS)
     + "SELECT metric, total, true AS within_bound FROM totals WHERE metric <> 'orders'",
+    "best_movie_seen": _with(_MOVIES, _MOVIE_OUTER, _best("movie_outer", MIN_SUPPORT))
+    + """SELECT title, avg_rating, n_ratings, (SELECT count(*) FROM movie_outer) AS n_movies,
+                (SELECT count(*) FROM movie_outer WHERE title = 'Chua_co_ten') AS n_untitled FROM best""",
 }
+SQL["delivery_delay_of_staged"] = SQL["q_delivery_delay"]

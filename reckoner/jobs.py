@@ -6,7 +6,7 @@
 The session is whatever the submission configures. Results that feed several
 outputs are staged once and removed at the end; every output is written by the
 tasks that hold it. Limits that a program fixes are options with its value as
-default.
+default. A best row is observed while the rows it is the best of are written.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reckoner.operators.filters import more_than
+from reckoner.operators.observed import SideResults
 from reckoner.operators.rank import by_text_key
 from reckoner.operators.sets import union_all
 from reckoner.plans import orders, ratings, reviews
@@ -35,7 +36,9 @@ from reckoner.sources.text import BOUNDED_STRICT, TRIMMED_LENIENT, TRIMMED_STRIC
 OPTIONS = {"min_support": 5, "more_than": 500, "k": 5, "year": 2024, "user_salts": 1}
 
 Paths = Mapping[str, str]
-Outputs = dict[str, DataFrame]
+Later = Callable[[], DataFrame]
+# Written in order; an output that rests on what an earlier one observed is made when its turn comes.
+Outputs = dict[str, DataFrame | Later]
 
 
 class Job(NamedTuple):
@@ -59,10 +62,12 @@ def _option(paths: Paths, name: str) -> int:
 def movie_pairs(spark: SparkSession, paths: Paths) -> Outputs:
     rated = datasets.read_ratings(spark, paths["ratings"], TRIMMED_STRICT, MOVIE_RATINGS)
     movies = datasets.read_movies(spark, paths["movies"], TRIMMED_STRICT, ["movie_id", "title"])
-    means, support = stage(ratings.movie_means_keep_unknown(rated, movies)), _option(paths, "min_support")
+    support = _option(paths, "min_support")
+    best = SideResults(ratings.best_movie_metrics(support, positive_only=True))
+    means = best.watch(by_text_key(ratings.movie_means_keep_unknown(rated, movies), "movie_id"))
     return {
-        "means": reports.movie_pairs(by_text_key(means, "movie_id")),
-        "champion": reports.champion_pair(ratings.best_movie(means, support, positive_only=True), support),
+        "means": reports.movie_pairs(means),
+        "champion": lambda: reports.champion_pair(ratings.best_movie_seen(spark, best.values()), support),
     }
 
 
@@ -106,12 +111,15 @@ def _users(spark: SparkSession, paths: Paths, column: str) -> DataFrame:
 
 def movie_lines(spark: SparkSession, paths: Paths) -> Outputs:
     parts = _rating_parts(spark, paths, MOVIE_RATINGS)
-    means, support = stage(ratings.movie_means_known(parts, _movies(spark, paths, "title"))), _option(paths, "min_support")
-    winner = reports.winner_line(ratings.best_movie(means, support), support)
-    return {
-        "means": reports.with_header(reports.movie_lines(means), reports.MOVIES_HEADER),
-        "winner": reports.with_header(winner, reports.WINNER_HEADER % support),
-    }
+    support = _option(paths, "min_support")
+    best = SideResults(ratings.best_movie_metrics(support))
+    means = best.watch(ratings.movie_means_known(parts, _movies(spark, paths, "title")))
+
+    def winner() -> DataFrame:
+        line = reports.winner_line(ratings.best_movie_seen(spark, best.values()), support)
+        return reports.with_header(line, reports.WINNER_HEADER % support)
+
+    return {"means": reports.with_header(reports.movie_lines(means), reports.MOVIES_HEADER), "winner": winner}
 
 
 def genre_lines(spark: SparkSession, paths: Paths) -> Outputs:
@@ -317,7 +325,7 @@ def run(spark: SparkSession, name: str, paths: Paths, out: str) -> None:
         raise ValueError(f"{name} needs {', '.join(missing)}")
     try:
         for output, lines in job.build(spark, paths).items():
-            write_lines(lines, f"{out}/{output}")
+            write_lines(lines if isinstance(lines, DataFrame) else lines(), f"{out}/{output}")
     finally:
         clean(spark)
 

@@ -75,6 +75,24 @@ def rank_all(df: DataFrame, descending: Sequence[str], rank: str = "rank", range
     return left.join(right, same).select("l.*", f"r.{rank}")
 
 
+def ntile_all(df: DataFrame, descending: Sequence[str], tiles: int, tile: str = "tile", ranges: int = 200) -> DataFrame:
+    """Tile 1 to ``tiles`` of every row of the whole table, greatest rows first, without one big task.
+
+    Sizes are those of SQL's ``ntile``: they differ by one at most, greater
+    tiles first. Equal rows share the tile of the first of them, so reruns agree.
+    """
+    total = df.agg(F.count(F.lit(1))).scalar()
+    placed = rank_all(df, descending, "__rank", ranges).withColumn("__total", total)
+    before, size, rest = F.col("__rank") - 1, F.expr(f"__total div {tiles}"), F.col("__total") % tiles
+    longer = rest * (size + 1)
+    placed = placed.select("*", before.alias("__before"), size.alias("__size"), rest.alias("__rest"), longer.alias("__longer"))
+    number = F.expr(
+        "CASE WHEN __before < __longer THEN __before div (__size + 1)"
+        " ELSE __rest + (__before - __longer) div greatest(__size, 1) END"
+    )
+    return placed.select(*df.columns, (number + 1).cast("int").alias(tile))
+
+
 def by_text_key(df: DataFrame, key: str) -> DataFrame:
     """Sorted by the key as text, so that 10 comes before 9."""
     return df.orderBy(F.col(key).cast("string"))

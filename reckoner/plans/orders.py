@@ -9,14 +9,14 @@ Money columns are decimals, so sums are exact in any order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reckoner.functions.dates import in_year
 from reckoner.functions.numbers import parse_number
 from reckoner.operators.aggregate import as_metrics, distinct_values, row_count
 from reckoner.operators.enrich import lookup
-from reckoner.operators.rank import best_one, rank_all
+from reckoner.operators.rank import best_one, ntile_all, rank_all
 from reckoner.operators.sets import union_all
 
 
@@ -138,10 +138,8 @@ def delivery_delay(orders: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def customer_segments(
-    orders: DataFrame, many_orders: int = 10, high_value: float = 250000.0, frequent: float = 1.0
-) -> DataFrame:
-    """Orders, mean order value and orders per 30 days of every customer, with a segment.
+def customer_measures(orders: DataFrame) -> DataFrame:
+    """Orders, mean order value and orders per 30 days of every customer.
 
     The period runs from the first to the last order, both days included.
     """
@@ -150,12 +148,15 @@ def customer_segments(
         F.sum("order_value").alias("value"),
         (F.datediff(F.max("purchased_at"), F.min("purchased_at")) + 1).alias("days"),
     )
-    measured = per_customer.select(
+    return per_customer.select(
         "customer_id",
         "n_orders",
         (F.col("value").cast("double") / F.col("n_orders")).alias("avg_order_value"),
         (F.col("n_orders") * 30.0 / F.col("days")).alias("orders_per_30_days"),
     )
+
+
+def _segmented(measured: DataFrame, many_orders: Column, high_value: Column, frequent: Column) -> DataFrame:
     loyal = (F.col("n_orders") >= many_orders) | (F.col("orders_per_30_days") >= frequent)
     valuable = F.col("avg_order_value") >= high_value
     segment = (
@@ -168,6 +169,34 @@ def customer_segments(
     return measured.withColumn("segment", segment)
 
 
+def customer_segments(
+    orders: DataFrame, many_orders: int = 10, high_value: float = 250000.0, frequent: float = 1.0
+) -> DataFrame:
+    """The measures of every customer, with a segment by fixed limits."""
+    return _segmented(customer_measures(orders), F.lit(many_orders), F.lit(high_value), F.lit(frequent))
+
+
+def customer_segments_by_share(orders: DataFrame, share: float = 0.9, accuracy: int = 100_000) -> DataFrame:
+    """The measures of every customer, with a segment by the quantiles of all customers.
+
+    A limit is the least value that ``share`` of all customers do not exceed, so
+    the segments follow the data. The three limits are one scalar subquery of
+    mergeable summaries; their rank is off by at most 1 / ``accuracy`` of the
+    customers, and exact for fewer customers than ``accuracy``.
+    """
+    measured = customer_measures(orders)
+    names = ("n_orders", "avg_order_value", "orders_per_30_days")
+    limits = measured.agg(F.struct(*[F.percentile_approx(n, share, accuracy).alias(n) for n in names])).scalar()
+    placed = measured.withColumn("limits", limits)
+    return _segmented(placed, *[F.col(f"limits.{n}") for n in names]).drop("limits")
+
+
+def customer_tiles(orders: DataFrame, tiles: int = 10) -> DataFrame:
+    """Total value of every customer and its tile, the most valuable tenth first."""
+    values = orders.groupBy("customer_id").agg(F.sum("order_value").alias("value"))
+    return ntile_all(values, ["value", "customer_id"], tiles)
+
+
 def segment_sizes(segments: DataFrame) -> DataFrame:
     """Customers per segment."""
     return row_count(segments, ["segment"], "n_customers")

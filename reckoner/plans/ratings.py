@@ -12,9 +12,9 @@ movie and user group join the ratings themselves.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reckoner.functions.buckets import FOUR_AGES, SEVEN_AGES, Bucket, bucket
@@ -23,6 +23,7 @@ from reckoner.functions.text import drop_trailing_empty
 from reckoner.operators.aggregate import conditional_means, mean_count, means_of_totals, totals
 from reckoner.operators.enrich import lookup
 from reckoner.operators.filters import not_empty, parsed_only, with_support
+from reckoner.operators.observed import best_metrics
 from reckoner.operators.rank import best_one
 from reckoner.operators.sets import union_all
 from reckoner.operators.tokens import explode_list
@@ -61,6 +62,20 @@ def best_movie(means: DataFrame, min_support: int = 5, positive_only: bool = Fal
     return best_one(eligible, "avg_rating", "movie_id")
 
 
+def best_movie_metrics(min_support: int = 5, positive_only: bool = False) -> dict[str, Column]:
+    """``best_movie`` as aggregates over the means, to be observed while these are written."""
+    eligible = F.col("n_ratings") >= min_support
+    if positive_only:
+        eligible &= F.col("avg_rating") > 0
+    return best_metrics(["title", "avg_rating", "n_ratings"], "avg_rating", "movie_id", eligible)
+
+
+def best_movie_seen(spark: SparkSession, values: Mapping[str, object]) -> DataFrame:
+    """The observed ``best_movie_metrics`` as a table of one row, or of none."""
+    found = [(values["title"], values["avg_rating"], values["n_ratings"])] if values["n_ratings"] is not None else []
+    return spark.createDataFrame(found, "title string, avg_rating double, n_ratings bigint")
+
+
 def genre_means(ratings: DataFrame, movies: DataFrame, keep_empty: bool = False) -> DataFrame:
     """Mean and count per genre; a rating counts once for each genre of its movie.
 
