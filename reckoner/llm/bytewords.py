@@ -51,11 +51,11 @@ def text_column(column) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def slices(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """First document, end, bytes and own offsets of each slice."""
+def slices(data: np.ndarray, offsets: np.ndarray, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """First document, end, bytes and own offsets of each slice, of some ``size`` bytes."""
     first, n = 0, len(offsets) - 1
     while first < n:
-        end = int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, "right")) - 1
+        end = int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1
         end = min(max(end, first + 1), first + SLICE_DOCS, n)
         yield first, end, data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first]
         first = end

@@ -30,6 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reckoner.llm import tally
 from reckoner.llm.bytewords import mix, slices, text_column
 from reckoner.llm.shared import ship
 
@@ -37,6 +38,8 @@ N = 4
 PROBES = 3
 LOG2_SLOTS = 20
 SHARE = 2e-5
+# Texts of some bytes are worked on at once: an n-gram takes some sixty times its byte meanwhile.
+AT_ONCE = 1 << 18
 
 LETTER = np.array([0x61 <= b <= 0x7A or b >= 0x80 for b in range(256)])
 CLEAN = np.array([b if LETTER[b] else 0x20 for b in range(256)], dtype=np.uint8)
@@ -73,16 +76,13 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         langs = pc.dictionary_encode(batch.column(0))
         names, codes = langs.dictionary, langs.indices.to_numpy()
-        keys, counts = [], []
-        for first, end, data, offsets in slices(*text_column(_lower(batch.column(1)))):
+        counts = tally.Tally()
+        for first, end, data, offsets in slices(*text_column(_lower(batch.column(1))), AT_ONCE):
             gram, doc = grams_of(data, offsets)
-            key = (codes[first:end][doc].astype(np.uint64) << np.uint64(32)) | gram
-            for found, to in zip(np.unique(key, return_counts=True), (keys, counts), strict=True):
-                to.append(found)
-        if not keys:
+            counts.add((codes[first:end][doc].astype(np.uint64) << np.uint64(32)) | gram)
+        key, n = counts.compact()
+        if not len(key):
             continue
-        key, back = np.unique(np.concatenate(keys), return_inverse=True)
-        n = np.bincount(back, np.concatenate(counts)).astype(np.int64)
         lang = names.take(pa.array((key >> np.uint64(32)).astype(np.int64)))
         gram = pa.array((key & np.uint64(0xFFFFFFFF)).astype(np.int64))
         yield pa.record_batch([lang, gram, pa.array(n)], names=["lang", "gram", "n"])
@@ -164,10 +164,11 @@ def _judge(column, known: Filters) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Predicted languages, scores, and numbers of n-grams of a column of texts."""
     column = _lower(column)
     data, offsets = text_column(column)
-    letters = _has_letter(column, data, offsets)
+    letters = np.zeros(len(column), bool)
     best, score, n_grams = np.zeros(len(column), np.int64), np.zeros(len(column)), np.zeros(len(column), np.int64)
-    if known.languages:
-        for first, end, part, own in slices(data, offsets):
+    for first, end, part, own in slices(data, offsets, AT_ONCE):
+        letters[first:end] = _has_letter(column.slice(first, end - first), part, own)
+        if known.languages:
             n, held = known.counts(part, own)
             best[first:end], n_grams[first:end] = held.argmax(1), n
             score[first:end] = (held.max(1) / n.clip(1)).clip(0, 1)

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -72,3 +73,17 @@ def test_edges(edge, empty, filters):
     nothing = language.learn(empty)
     assert {r.lang_pred for r in language.identify(edge, nothing).collect()} == {"und"}
     assert np.all(nothing.slices == 0)
+
+
+def test_memory_stays_near_that_of_the_batch(filters):
+    """Temporary arrays follow a slice, not the batch of texts that a task holds."""
+    rng = random.Random(6)
+    words = ["".join(rng.choice(SYLLABLES["xx"]) for _ in range(3)) for _ in range(500)]
+    column = pa.array([" ".join(rng.choices(words, k=600)) for _ in range(4000)])
+    peaks = []
+    for work in (lambda: language._judge(column, filters), lambda: list(language._learn(iter([pa.record_batch([pa.array(["xx"] * len(column)), column], names=["lang", "text"])])))):
+        tracemalloc.start()
+        work()
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert column.nbytes > 16e6 and max(peaks) < 3 * column.nbytes, peaks
