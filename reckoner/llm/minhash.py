@@ -1,12 +1,11 @@
 """Near-duplicates by improved consistent weighted sampling, banded and verified.
 
 * **Weights.** A document is its five-word shingles, weighted by occurrences
-  times inverse document frequency. Shingles of fewer than ``FLOOR`` of all
-  documents weigh the same, the most, so that a group of copies does not lose
-  weight by its size; boilerplate of more documents weighs less. Candidates are
-  the shingles common in a block of documents; their frequencies are then
-  counted exactly over all documents. The common ones, at most ``1 / FLOOR``
-  times the mean number of shingles of a document, are broadcast.
+  times inverse document frequency, ``log(1 + documents / holding ones)`` of every
+  shingle, counted over all documents. Texts are packed to chunks; each chunk
+  asks every bucket of shingles, by upper bits, for the frequencies of those it holds, a
+  shingle once, and is signed when the answers have come. So what is common weighs
+  less: boilerplate, and what a large family of copies shares, against its edits.
 * **Samples.** Ioffe's sampling draws shingle and quantised weight such that two
   documents draw the same with their weighted Jaccard similarity as
   probability. ``BANDS`` bands of ``ROWS`` samples are the buckets: a pair of
@@ -41,6 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,12 +52,14 @@ from reckoner.llm.shared import ship, written
 SHINGLE = 5
 THRESHOLD = 0.8
 ROWS, BANDS = 3, 9
-FLOOR = 0.1
+# Shingles of a smaller share of all documents would weigh the same; at 0 each weighs by its own frequency.
+FLOOR = 0.0
 SEED = 0x5DEECE66D
 U64 = np.uint64
 LOW48 = U64((1 << 48) - 1)
 BLOCK = 1 << 16
 HOPS = 3
+CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 24 << 20
 
 
 def sets_of(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -73,74 +75,71 @@ def _sliced(column) -> Iterator[tuple[int, int, Words]]:
         yield first, end, words_of(LOWER[data], offsets, ALPHANUMERIC)
 
 
-def _locally_common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingles that ``FLOOR`` of a block of documents hold: what is common at all is common in some block."""
+def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Rows packed to chunks of some ``size`` bytes, each one value; a row counts 64 bytes beside its text."""
+    number, held, missing = TaskContext.get().partitionId() << 32, [], size
 
-    def found(block: tally.Tally, documents: int) -> pa.RecordBatch:
-        shingles, counts = block.compact()
-        return pa.record_batch([pa.array(shingles[counts >= FLOOR * documents].view(np.int64))], names=["shingle"])
+    def chunk() -> pa.RecordBatch:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            for part in held:
+                out.write_batch(part)
+        return pa.record_batch([pa.array([number], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["chunk", "packed"])
 
-    block, documents = tally.Tally(), 0
     for batch in batches:
-        for first, end, words in _sliced(batch.column(0)):
-            block.add(sets_of(words)[1])
-            documents += end - first
-            if block.held > tally.EMIT_AT:
-                yield found(block, documents)
-                block, documents = tally.Tally(), 0
-    yield found(block, documents)
-
-
-def _count_maybe(batches: Iterator[pa.RecordBatch], table) -> Iterator[pa.RecordBatch]:
-    """Numbers of documents of the shingles that may be among the candidates."""
-    counts = tally.Tally()
+        at, first = text_column(batch.column(1))[1] + 64 * np.arange(len(batch) + 1), 0
+        while first < len(batch):
+            end = max(int(np.searchsorted(at, at[first] + missing, "right")) - 1, first + 1)
+            held.append(batch.slice(first, end - first))
+            missing -= int(at[end] - at[first])
+            if missing <= 0 or end < len(batch):
+                yield chunk()
+                number, held, missing = number + 1, [], size
+            first = end
+    if held:
+        yield chunk()
+
+
+def _unpacked(packed: bytes) -> tuple[pa.Table, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """The rows of a chunk and, a slice each, their documents, shingles and occurrences."""
+    rows = pa.ipc.open_stream(packed).read_all()
+    sets = []
+    for first, _, words in _sliced(rows.column(1)):
+        doc, shingles, times = sets_of(words)
+        sets.append((first + doc, shingles, times))
+    return rows, sets
+
+
+ASKED = "bucket int, chunk long, high binary, low binary, n binary"
+
+
+def _ask(batches: Iterator[pa.RecordBatch], log2_buckets: int) -> Iterator[pa.RecordBatch]:
+    """Shingles of each chunk, in order, by their upper bits, with the number of its documents that hold them."""
     for batch in batches:
-        for _, _, words in _sliced(batch.column(0)):
-            shingles = sets_of(words)[1]
-            counts.add(shingles[bitfilter.may_hold(table.value, mix(shingles))])
-    shingles, n = counts.compact()
-    yield pa.record_batch([pa.array(shingles.view(np.int64)), pa.array(n)], names=["shingle", "n"])
+        for number, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            counts = tally.Tally()
+            for _, shingles, _ in _unpacked(packed.as_buffer())[1]:
+                counts.add(shingles)
+            keys, n = counts.compact()
+            bucket = (keys >> U64(48 - log2_buckets)).astype(np.int32)
+            at = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(keys) else np.zeros(0, np.int64)
+            parts = [np.split(x, at[1:]) if len(at) else [] for x in ((keys >> U64(32)).astype(np.uint16), keys.astype(np.uint32), n.astype(np.uint32))]
+            columns = [pa.array([x.tobytes() for x in xs], pa.binary()) for xs in parts]
+            yield pa.record_batch([pa.array(bucket[at]), pa.array(np.full(len(at), number)), *columns], names=["bucket", "chunk", "high", "low", "n"])
 
 
-def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.record_batch([pa.array(mix(batch.column(0).to_numpy().view(U64)).view(np.int64))], names=["hash"])
-
-
-class Weights:
-    """Inverse document frequencies: of common shingles each, of all others one."""
-
-    def __init__(self, shingles: np.ndarray, documents: np.ndarray, total: int):
-        order = np.argsort(shingles)
-        self.shingles = shingles[order]
-        self.idf = np.log1p(total / documents[order]).astype(np.float32)
-        self.most = np.float32(math.log1p(1 / FLOOR))
-        bits = bitfilter.log2_bits(len(shingles))
-        self.seen = np.zeros(1 << bits, bool)
-        self.shift = U64(48 - min(bits, 48))
-        self.seen[(self.shingles >> self.shift).astype(np.int64)] = True
+def _answer(asked: pa.Table) -> pa.Table:
+    """For each chunk's shingles of a bucket, the number of all documents that hold them."""
+    high, low, n = (np.frombuffer(b"".join(asked[c].to_pylist()), k) for c, k in (("high", np.uint16), ("low", np.uint32), ("n", np.uint32)))
+    _, back = np.unique(high.astype(U64) << U64(32) | low, return_inverse=True)
+    held = np.bincount(back, n).astype(np.uint32)[back]
+    size = np.array([len(x) >> 2 for x in asked["low"].to_pylist()])
+    answers = [x.tobytes() for x in np.split(held, np.cumsum(size)[:-1])]
+    return pa.table({"chunk": asked["chunk"], "bucket": asked["bucket"], "documents": pa.array(answers, pa.binary())})
 
-    def of(self, shingles: np.ndarray, times: np.ndarray) -> np.ndarray:
-        idf = np.full(len(shingles), self.most, np.float32)
-        if len(self.shingles):
-            maybe = np.flatnonzero(self.seen[(shingles >> self.shift).astype(np.int64)])
-            at = np.searchsorted(self.shingles, shingles[maybe]).clip(max=len(self.shingles) - 1)
-            hit = self.shingles[at] == shingles[maybe]
-            idf[maybe[hit]] = self.idf[at[hit]]
-        return idf * times.astype(np.float32)
 
-
-def learn_weights(docs: DataFrame) -> Weights:
-    spark = docs.sparkSession
-    texts = docs.select(F.col("text").cast("string").alias("text"))
-    total = texts.count()
-    candidates = written(texts.mapInArrow(_locally_common, "shingle long").distinct(), "candidates")
-    bits = bitfilter.log2_bits(candidates.count())
-    table = spark.sparkContext.broadcast(bitfilter.build(candidates.mapInArrow(_mixed, "hash long"), "hash", bits))
-    counts = texts.mapInArrow(lambda b: _count_maybe(b, table), "shingle long, n long")
-    common = counts.groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") > max(1.0, FLOOR * total)).toArrow()
-    table.destroy()
-    return Weights(common["shingle"].to_numpy().view(U64), common["n"].to_numpy(), total)
+def inverse_frequency(documents: np.ndarray, total: int) -> np.ndarray:
+    return np.log1p(total / np.maximum(documents, FLOOR * total)).astype(np.float32)
 
 
 def samples(doc: np.ndarray, shingles: np.ndarray, weights: np.ndarray, count: int) -> np.ndarray:
@@ -182,58 +181,88 @@ def fingerprints(doc: np.ndarray, shingles: np.ndarray, times: np.ndarray) -> np
     return np.stack(parts, 1)
 
 
-SIGNED = "print_a long, print_b long, bands array<long>"
+SIGNED = "print_a long, print_b long, bands array<long>, documents binary"
+
+
+def _sign(chunk: pa.Table, answers: pa.Table, total: int) -> pa.Table:
+    """Fingerprint, buckets and document frequencies of a chunk's rows."""
+    rows, sets = _unpacked(chunk["packed"][0].as_buffer())
+    n = len(rows)
+    prints, bands, has = np.zeros((n, 2), U64), np.zeros((n, BANDS), U64), np.zeros(n, bool)
+    frequencies = np.full(n, b"", object)
+    order = np.argsort(answers["bucket"].to_numpy())
+    held = np.frombuffer(b"".join(answers["documents"].take(pa.array(order)).to_pylist()), np.uint32)
+    keys = np.unique(np.concatenate([x for _, x, _ in sets]))
+    for doc, shingles, times in sets:
+        documents = held[np.searchsorted(keys, shingles)]
+        at = np.unique(doc)
+        has[at] = True
+        prints[at] = fingerprints(doc, shingles, times)
+        frequencies[at] = [x.tobytes() for x in np.split(documents, np.flatnonzero(np.diff(doc)) + 1)][: len(at)]
+        drawn = samples(doc, shingles, inverse_frequency(documents, total) * times.astype(np.float32), ROWS * BANDS)
+        for band in range(BANDS):
+            key = np.full(len(at), band, U64)
+            for row in range(ROWS):
+                key = mix(key + drawn[:, band * ROWS + row])
+            bands[at, band] = key
+    lists = pa.ListArray.from_arrays(
+        pa.array(np.r_[0, np.cumsum(has * BANDS)].astype(np.int32)), pa.array(bands[has].ravel().view(np.int64))
+    )
+    columns = [rows.column(0), rows.column(2), pa.array(prints[:, 0].copy().view(np.int64)), pa.array(prints[:, 1].copy().view(np.int64))]
+    return pa.table([*columns, lists, pa.array(frequencies, pa.binary())], names=["doc_id", "text_key", "print_a", "print_b", "bands", "documents"])
 
 
-def _sign(batches: Iterator[pa.RecordBatch], weights) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        n = len(batch)
-        prints, bands, has = np.zeros((n, 2), U64), np.zeros((n, BANDS), U64), np.zeros(n, bool)
-        for first, end, words in _sliced(batch.column(1)):
-            doc, shingles, times = sets_of(words)
-            at = first + np.unique(doc)
-            has[at] = True
-            prints[at] = fingerprints(doc, shingles, times)
-            drawn = samples(doc, shingles, weights.value.of(shingles, times), ROWS * BANDS)
-            for band in range(BANDS):
-                key = np.full(len(at), band, U64)
-                for row in range(ROWS):
-                    key = mix(key + drawn[:, band * ROWS + row])
-                bands[at, band] = key
-        lists = pa.ListArray.from_arrays(
-            pa.array(np.r_[0, np.cumsum(has * BANDS)].astype(np.int32)), pa.array(bands[has].ravel().view(np.int64))
-        )
-        columns = [batch.column(0), batch.column(2), pa.array(prints[:, 0].copy().view(np.int64)), pa.array(prints[:, 1].copy().view(np.int64))]
-        yield pa.record_batch([*columns, lists], names=["doc_id", "text_key", "print_a", "print_b", "bands"])
+def signatures(rows: DataFrame, total: int, size: int) -> DataFrame:
+    """Per row of ``rows`` (doc_id, text, text_key): doc_id, text_key and ``SIGNED``. ``size``: bytes of all texts.
+
+    Chunks of texts ask buckets of shingles in how many documents each shingle
+    is. Beyond a gigabyte of text both grow by its square root, to 32 and 48 MB of text.
+    """
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    grown = max(1.0, math.sqrt(size / 1e9))
+    chunk_bytes = int(CHUNK_BYTES * min(grown, 8))
+    log2_buckets = max(0, math.ceil(math.log2(max(1, size / (BUCKET_BYTES * min(grown, 2))))))
+    chunks = written(rows.mapInArrow(lambda b: _chunks(b, chunk_bytes), "chunk long, packed binary"), "chunks")
+    asked = chunks.mapInArrow(lambda b: _ask(b, log2_buckets), ASKED)
+    answers = asked.groupBy("bucket").applyInArrow(_answer, "chunk long, bucket int, documents binary")
+    both = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk"))
+    return both.applyInArrow(lambda chunk, found: _sign(chunk, found, total), f"doc_id {kind}, text_key long, {SIGNED}")
 
 
-VECTORS = "print_a long, print_b long, shingles binary, weights binary, mass double"
+VECTORS = "print_a long, print_b long, shingles binary, times binary"
 
 
-def _vectors(batches: Iterator[pa.RecordBatch], wanted, weights) -> Iterator[pa.RecordBatch]:
-    """Shingles (32 bits, which suffice for one pair) and weights of the documents that share a bucket."""
+def _vectors(batches: Iterator[pa.RecordBatch], wanted) -> Iterator[pa.RecordBatch]:
+    """Shingles (32 bits, which suffice for one pair) and occurrences of the documents that share a bucket."""
     for batch in batches:
         keep = bitfilter.may_hold(wanted.value, batch.column(1).to_numpy().view(U64))
-        a, b, shingle_bytes, weight_bytes, mass = [], [], [], [], []
+        a, b, shingle_bytes, times_bytes = [], [], [], []
         for _, _, words in _sliced(batch.column(0).take(pa.array(keep))):
             doc, shingles, times = sets_of(words)
             prints = fingerprints(doc, shingles, times).view(np.int64)
-            values = weights.value.of(shingles, times)
             limits = np.r_[np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]), len(doc)].tolist() if len(doc) else [0]
             for i, (low, high) in enumerate(zip(limits[:-1], limits[1:], strict=True)):
                 a.append(int(prints[i, 0]))
                 b.append(int(prints[i, 1]))
                 short = (shingles[low:high] >> U64(16)).astype(np.uint32)  # still sorted
                 shingle_bytes.append(short.tobytes())
-                weight_bytes.append(values[low:high].tobytes())
-                mass.append(float(values[low:high].sum(dtype=float)))
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.float64())
+                times_bytes.append(times[low:high].astype(np.float32).tobytes())
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
         yield pa.record_batch(
-            [pa.array(x, k) for x, k in zip((a, b, shingle_bytes, weight_bytes, mass), kinds, strict=True)],
-            names=["print_a", "print_b", "shingles", "weights", "mass"],
+            [pa.array(x, k) for x, k in zip((a, b, shingle_bytes, times_bytes), kinds, strict=True)],
+            names=["print_a", "print_b", "shingles", "times"],
         )
 
 
+def _weigh(batches: Iterator[pa.RecordBatch], total: int) -> Iterator[pa.RecordBatch]:
+    """Occurrences times inverse document frequencies."""
+    for batch in batches:
+        times, documents = (batch.column(i).to_pylist() for i in (2, 3))
+        weights = [np.frombuffer(t, np.float32) * inverse_frequency(np.frombuffer(d, np.uint32), total) for t, d in zip(times, documents, strict=True)]
+        packed, mass = pa.array([w.tobytes() for w in weights], pa.binary()), pa.array([float(w.sum(dtype=float)) for w in weights], pa.float64())
+        yield pa.record_batch([batch.column(0), batch.column(1), packed, mass], names=["node", "shingles", "weights", "mass"])
+
+
 def weighted_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> float:
     """Sum of minima over sum of maxima; ``a`` and ``b`` are sorted."""
     if not len(a) or not len(b):
@@ -386,10 +415,9 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     text = F.col("text").cast("string")
-    weights = spark.sparkContext.broadcast(learn_weights(docs))
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    total, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()
     rows = docs.select("doc_id", text.alias("text"), F.xxhash64("text").alias("text_key"))
-    signed = rows.mapInArrow(lambda b: _sign(b, weights), f"doc_id {kind}, text_key long, {SIGNED}")
+    signed = signatures(rows, total, size)
     signed = written(signed.withColumn("row_id", F.monotonically_increasing_id()), "signatures")
 
     keeper = F.min(F.struct(F.isnull("doc_id").alias("unknown"), "doc_id", "row_id")).alias("keeper")
@@ -408,9 +436,12 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     wanted = written(nodes.join(scores.select("node"), "node").select("print_a", "print_b", "node", "text_key"), "wanted")
     bits = bitfilter.log2_bits(wanted.count())
     table = spark.sparkContext.broadcast(bitfilter.build(wanted, "text_key", bits))
-    again = rows.select("text", "text_key").mapInArrow(lambda b: _vectors(b, table, weights), VECTORS)
-    again = again.groupBy("print_a", "print_b").agg(F.min("shingles").alias("shingles"), F.min("weights").alias("weights"), F.min("mass").alias("mass"))
-    vectors = written(wanted.join(again, ["print_a", "print_b"]).select("node", "shingles", "weights", "mass"), "vectors")
+    again = rows.select("text", "text_key").mapInArrow(lambda b: _vectors(b, table), VECTORS)
+    again = again.groupBy("print_a", "print_b").agg(F.min("shingles").alias("shingles"), F.min("times").alias("times"))
+    frequencies = signed.select(F.col("row_id").alias("node"), "documents")
+    vectors = wanted.join(again, ["print_a", "print_b"]).join(frequencies, "node").select("node", "shingles", "times", "documents")
+    vectors = vectors.mapInArrow(lambda b: _weigh(b, total), "node long, shingles binary, weights binary, mass double")
+    vectors = written(vectors, "vectors")
 
     roots = components(links(members, vectors, scores, threshold))
     placed = nodes.join(roots.withColumnRenamed("u", "node"), "node", "left").select(
