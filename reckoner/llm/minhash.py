@@ -59,7 +59,7 @@ U64 = np.uint64
 LOW48 = U64((1 << 48) - 1)
 BLOCK = 1 << 16
 HOPS = 3
-CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 24 << 20
+CHUNK_BYTES = BUCKET_BYTES = 4 << 20
 
 
 def sets_of(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -216,12 +216,12 @@ def signatures(rows: DataFrame, total: int, size: int) -> DataFrame:
     """Per row of ``rows`` (doc_id, text, text_key): doc_id, text_key and ``SIGNED``. ``size``: bytes of all texts.
 
     Chunks of texts ask buckets of shingles in how many documents each shingle
-    is. Beyond a gigabyte of text both grow by its square root, to 32 and 48 MB of text.
+    is. Beyond a gigabyte of text both grow by its square root, to 32 MB.
     """
     kind = rows.schema["doc_id"].dataType.simpleString()
-    grown = max(1.0, math.sqrt(size / 1e9))
-    chunk_bytes = int(CHUNK_BYTES * min(grown, 8))
-    log2_buckets = max(0, math.ceil(math.log2(max(1, size / (BUCKET_BYTES * min(grown, 2))))))
+    grown = min(max(1.0, math.sqrt(size / 1e9)), 8)
+    chunk_bytes = int(CHUNK_BYTES * grown)
+    log2_buckets = math.ceil(math.log2(max(1, size / (BUCKET_BYTES * grown))))
     chunks = written(rows.mapInArrow(lambda b: _chunks(b, chunk_bytes), "chunk long, packed binary"), "chunks")
     asked = chunks.mapInArrow(lambda b: _ask(b, log2_buckets), ASKED)
     answers = asked.groupBy("bucket").applyInArrow(_answer, "chunk long, bucket int, documents binary")
