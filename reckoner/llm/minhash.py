@@ -2,10 +2,14 @@
 
 * **Weights.** A document is its five-word shingles, weighted by occurrences
   times inverse document frequency, ``log(1 + documents / holding ones)`` of every
-  shingle, counted over all documents. Texts are packed to chunks; each chunk
-  asks every bucket of shingles, by upper bits, for the frequencies of those it holds, a
-  shingle once, and is signed when the answers have come. So what is common weighs
-  less: boilerplate, and what a large family of copies shares, against its edits.
+  shingle, counted over all documents of different shingles: a text and its exact
+  copies count once, or their number would weigh down what near copies share. Texts
+  are packed to chunks; each chunk asks every bucket of shingles, by upper bits, for
+  the frequencies of those it holds, a shingle once, and is signed when the answers
+  have come. So what is common weighs less, as boilerplate does. Frequencies count as
+  the root of their square and that of ``RARE`` of all documents, so no weight grows with the
+  corpus: else a word edited in one copy, at ``log(1 + documents)``, would count for
+  ever more of what a group of copies shares, the larger corpus and group are.
 * **Samples.** Ioffe's sampling draws shingle and quantised weight such that two
   documents draw the same with their weighted Jaccard similarity as
   probability. ``BANDS`` bands of ``ROWS`` samples are the buckets: a pair of
@@ -54,6 +58,8 @@ THRESHOLD = 0.8
 ROWS, BANDS = 3, 9
 # Shingles of a smaller share of all documents would weigh the same; at 0 each weighs by its own frequency.
 FLOOR = 0.0
+# Frequencies far below this share of all documents weigh almost the same, at any number of documents.
+RARE = 0.002
 SEED = 0x5DEECE66D
 U64 = np.uint64
 LOW48 = U64((1 << 48) - 1)
@@ -110,36 +116,81 @@ def _unpacked(packed: bytes) -> tuple[pa.Table, list[tuple[np.ndarray, np.ndarra
     return rows, sets
 
 
-ASKED = "bucket int, chunk long, high binary, low binary, n binary"
+def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A fingerprint of the shingles of each text that has any."""
+    for batch in batches:
+        for packed in batch.column(0):
+            for sets in _unpacked(packed.as_buffer())[1]:
+                yield pa.record_batch([pa.array(fingerprints(*sets)[:, 0].copy().view(np.int64))], names=["print"])
+
+
+def repeated_prints(chunks: DataFrame) -> DataFrame:
+    """Fingerprints of shingles that several rows have, and of how many (``print``, ``n``)."""
+    prints = chunks.select("packed").mapInArrow(_prints, "print long")
+    return written(prints.groupBy("print").agg(F.count("*").alias("n")).filter("n > 1"), "repeated")
+
+
+ASKED = "bucket int, chunk long, high binary, low binary, n binary, place binary, print binary"
+
+
+def _distinct(keys: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different pairs, by key."""
+    order = np.lexsort((prints, keys))
+    keys, prints = keys[order], prints[order]
+    new = np.r_[True, (keys[1:] != keys[:-1]) | (prints[1:] != prints[:-1])][: len(keys)]
+    return keys[new], prints[new]
 
 
-def _ask(batches: Iterator[pa.RecordBatch], log2_buckets: int) -> Iterator[pa.RecordBatch]:
-    """Shingles of each chunk, in order, by their upper bits, with the number of its documents that hold them."""
+def _ask(batches: Iterator[pa.RecordBatch], log2_buckets: int, repeated) -> Iterator[pa.RecordBatch]:
+    """Shingles of each chunk, in order, by their upper bits, with the number of its documents that hold them.
+
+    Documents that may be ``repeated`` are not counted in it: for each shingle that
+    they hold go its place and their fingerprints, each once.
+    """
     for batch in batches:
         for number, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            counts = tally.Tally()
-            for _, shingles, _ in _unpacked(packed.as_buffer())[1]:
-                counts.add(shingles)
+            counts, of_copies, by = tally.Tally(), [np.zeros(0, U64)], [np.zeros(0, U64)]
+            for doc, shingles, times in _unpacked(packed.as_buffer())[1]:
+                if repeated is None:
+                    counts.add(shingles)
+                    continue
+                prints = fingerprints(doc, shingles, times)[:, 0]
+                which = np.cumsum(np.r_[False, doc[1:] != doc[:-1]])[: len(doc)]
+                again = np.zeros(len(prints), bool)
+                again[bitfilter.may_hold(repeated.value, prints)] = True
+                again = again[which]
+                counts.add(*tally.summed(shingles, (~again).astype(np.int64)))
+                of_copies.append(shingles[again])
+                by.append(prints[which[again]])
             keys, n = counts.compact()
+            copied, by = _distinct(np.concatenate(of_copies), np.concatenate(by))
             bucket = (keys >> U64(48 - log2_buckets)).astype(np.int32)
             at = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(keys) else np.zeros(0, np.int64)
+            place = np.searchsorted(keys, copied)
+            cuts = np.searchsorted(place, at[1:])
+            place = (place - at[np.searchsorted(at, place, "right") - 1]).astype(np.uint32) if len(place) else place.astype(np.uint32)
             parts = [np.split(x, at[1:]) if len(at) else [] for x in ((keys >> U64(32)).astype(np.uint16), keys.astype(np.uint32), n.astype(np.uint32))]
+            parts += [np.split(x, cuts) if len(at) else [] for x in (place, by)]
             columns = [pa.array([x.tobytes() for x in xs], pa.binary()) for xs in parts]
-            yield pa.record_batch([pa.array(bucket[at]), pa.array(np.full(len(at), number)), *columns], names=["bucket", "chunk", "high", "low", "n"])
+            names = ["bucket", "chunk", "high", "low", "n", "place", "print"]
+            yield pa.record_batch([pa.array(bucket[at]), pa.array(np.full(len(at), number)), *columns], names=names)
 
 
 def _answer(asked: pa.Table) -> pa.Table:
-    """For each chunk's shingles of a bucket, the number of all documents that hold them."""
-    high, low, n = (np.frombuffer(b"".join(asked[c].to_pylist()), k) for c, k in (("high", np.uint16), ("low", np.uint32), ("n", np.uint32)))
+    """For each chunk's shingles of a bucket, the number of all documents that hold them, of equal fingerprints one."""
+    kinds = (("high", np.uint16), ("low", np.uint32), ("n", np.uint32), ("place", np.uint32), ("print", U64))
+    high, low, n, place, prints = (np.frombuffer(b"".join(asked[c].to_pylist()), k) for c, k in kinds)
     _, back = np.unique(high.astype(U64) << U64(32) | low, return_inverse=True)
-    held = np.bincount(back, n).astype(np.uint32)[back]
-    size = np.array([len(x) >> 2 for x in asked["low"].to_pylist()])
+    size, copies = (np.array([len(x) >> 2 for x in asked[c].to_pylist()]) for c in ("low", "place"))
+    copied, _ = _distinct(back[place + np.repeat(np.cumsum(size) - size, copies)], prints)
+    held = np.bincount(back, n)
+    held = (held + np.bincount(copied, minlength=len(held))).astype(np.uint32)[back]
     answers = [x.tobytes() for x in np.split(held, np.cumsum(size)[:-1])]
     return pa.table({"chunk": asked["chunk"], "bucket": asked["bucket"], "documents": pa.array(answers, pa.binary())})
 
 
 def inverse_frequency(documents: np.ndarray, total: int) -> np.ndarray:
-    return np.log1p(total / np.maximum(documents, FLOOR * total)).astype(np.float32)
+    return np.log1p(total / np.hypot(np.maximum(documents, FLOOR * total), RARE * total)).astype(np.float32)
 
 
 def samples(doc: np.ndarray, shingles: np.ndarray, weights: np.ndarray, count: int) -> np.ndarray:
@@ -212,18 +263,33 @@ def _sign(chunk: pa.Table, answers: pa.Table, total: int) -> pa.Table:
     return pa.table([*columns, lists, pa.array(frequencies, pa.binary())], names=["doc_id", "text_key", "print_a", "print_b", "bands", "documents"])
 
 
-def signatures(rows: DataFrame, total: int, size: int) -> DataFrame:
+def _grown(size: int) -> float:
+    return min(max(1.0, math.sqrt(size / 1e9)), 8)
+
+
+def chunked(rows: DataFrame, size: int) -> DataFrame:
+    """``rows`` (doc_id, text, text_key) packed to chunks: ``chunk``, ``packed``. ``size``: bytes of all texts."""
+    chunk_bytes = int(CHUNK_BYTES * _grown(size))
+    return written(rows.mapInArrow(lambda b: _chunks(b, chunk_bytes), "chunk long, packed binary"), "chunks")
+
+
+def signatures(rows: DataFrame, total: int, size: int, chunks: DataFrame | None = None, repeated: DataFrame | None = None) -> DataFrame:
     """Per row of ``rows`` (doc_id, text, text_key): doc_id, text_key and ``SIGNED``. ``size``: bytes of all texts.
 
     Chunks of texts ask buckets of shingles in how many documents each shingle
-    is. Beyond a gigabyte of text both grow by its square root, to 32 MB.
+    is. Beyond a gigabyte of text both grow by its square root, to 32 MB. Rows of
+    a fingerprint in ``repeated`` are one document in these numbers; a Bloom filter
+    of it only tells whose fingerprints are to be compared. ``chunks``: those of ``rows``,
+    if there already.
     """
+    chunks = chunked(rows, size) if chunks is None else chunks
+    table = None
+    if repeated is not None:
+        found = bitfilter.build(repeated, "print", bitfilter.log2_bits(repeated.count()))
+        table = rows.sparkSession.sparkContext.broadcast(found)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    grown = min(max(1.0, math.sqrt(size / 1e9)), 8)
-    chunk_bytes = int(CHUNK_BYTES * grown)
-    log2_buckets = math.ceil(math.log2(max(1, size / (BUCKET_BYTES * grown))))
-    chunks = written(rows.mapInArrow(lambda b: _chunks(b, chunk_bytes), "chunk long, packed binary"), "chunks")
-    asked = chunks.mapInArrow(lambda b: _ask(b, log2_buckets), ASKED)
+    log2_buckets = math.ceil(math.log2(max(1, size / (BUCKET_BYTES * _grown(size)))))
+    asked = chunks.mapInArrow(lambda b: _ask(b, log2_buckets, table), ASKED)
     answers = asked.groupBy("bucket").applyInArrow(_answer, "chunk long, bucket int, documents binary")
     both = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk"))
     return both.applyInArrow(lambda chunk, found: _sign(chunk, found, total), f"doc_id {kind}, text_key long, {SIGNED}")
@@ -417,7 +483,10 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     text = F.col("text").cast("string")
     total, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()
     rows = docs.select("doc_id", text.alias("text"), F.xxhash64("text").alias("text_key"))
-    signed = signatures(rows, total, size)
+    chunks = chunked(rows, size)
+    repeated = repeated_prints(chunks)
+    total -= repeated.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0))).first()[0]
+    signed = signatures(rows, total, size, chunks, repeated)
     signed = written(signed.withColumn("row_id", F.monotonically_increasing_id()), "signatures")
 
     keeper = F.min(F.struct(F.isnull("doc_id").alias("unknown"), "doc_id", "row_id")).alias("keeper")

@@ -93,6 +93,55 @@ def test_every_shingle_weighs_by_its_own_frequency(spark, corpus, monkeypatch):
     assert got == {i: sorted(df[s] for s in b) for i, b in bags.items()}
 
 
+@pytest.mark.parametrize("asked_of", ["repeated", "all"])
+def test_equal_sets_of_shingles_count_once(spark, corpus, monkeypatch, asked_of):
+    """Copies, also of other case and blanks, over many chunks; the Bloom filter may take any document for a copy."""
+    monkeypatch.setattr(minhash, "CHUNK_BYTES", 6000)
+    monkeypatch.setattr(minhash, "BUCKET_BYTES", 20_000)
+    rows = [*corpus, *[(8000 + i, t.upper().replace(" ", "  ")) for i, t in corpus[::3]], (9000, None), (9001, " "), (9002, ""), (9003, "!")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).selectExpr("doc_id", "text", "xxhash64(text) AS text_key")
+    minhash.ship(spark)
+    size = sum(len(t or "") for _, t in rows)
+    chunks = minhash.chunked(docs, size)
+    repeated = minhash.repeated_prints(chunks)
+    bags = {i: bag(t) for i, t in rows}
+    sets = Counter(frozenset(b.items()) for b in bags.values() if b)
+    assert sorted(r.n for r in repeated.collect()) == sorted(n for n in sets.values() if n > 1)
+    if asked_of == "all":
+        repeated = chunks.select("packed").mapInArrow(minhash._prints, "print long")
+    df = Counter(s for b in sets for s, _ in b)
+    signed = minhash.signatures(docs, len(sets), size, chunks, repeated)
+    got = {r.doc_id: sorted(np.frombuffer(r.documents, np.uint32).tolist()) for r in signed.collect()}
+    assert got == {i: sorted(df[s] for s in b) for i, b in bags.items()}
+
+
+def test_near_copies_in_large_groups_of_copies(spark):
+    """Sixty exact copies and near ones of 0.82 to 0.86 by shingles; as many near ones of another text that has no exact copy."""
+    words = lambda start, n: [f"w{i}" for i in range(start, start + n)]
+    rows = [" ".join(words(1000 * i, 12)) for i in range(100, 3100)]
+    groups = []
+    for g in range(2):
+        base, copies = words(500 * g, 104), []
+        for k in range(12):
+            near = list(base)
+            for j in range(2):  # ten shingles of a hundred, or eight
+                near[(37 * j + 5 * k + 11) % 98 + 3] = f"edit{g}x{k}x{j}"
+            copies.append(" ".join(near))
+        groups.append([" ".join(base)] * (60 if g == 0 else 1) + copies)
+    rows = groups[0] + groups[1] + rows
+    got = {r.doc_id: r.class_id for r in minhash.near_classes(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    assert got == {i: 0 if i < 72 else 72 if i < 85 else i for i in range(len(rows))}
+
+
+def test_an_edit_weighs_no_more_in_a_larger_corpus():
+    """What a group of a thousandth of all documents shares against an edit of one of them, of two different shingles in a hundred."""
+    for total in (10**4, 10**6, 3 * 10**8):
+        shared, edit = minhash.inverse_frequency(np.array([total // 1000, 1]), total)
+        assert 85 * shared / (85 * shared + 15 * edit) >= 0.84
+        common, rarer = minhash.inverse_frequency(np.array([total // 10, total // 30]), total)
+        assert common < 0.75 * rarer < 0.6 * edit
+
+
 def test_a_passage_of_some_documents_weighs_less(spark):
     """Eight of 200 texts are a common passage and six words of their own: 0.82 alike by shingles, 0.74 by TF-IDF."""
     words = lambda start, n: " ".join(f"w{i}" for i in range(start, start + n))
