@@ -462,8 +462,9 @@ def _relabelled(labels: DataFrame, links_: DataFrame) -> DataFrame:
 def links(members: DataFrame, vectors: DataFrame, scores: DataFrame, threshold: float) -> DataFrame:
     """Verified links ``u``, ``v``, enough for the classes of all similar pairs that share a bucket. ``members``: bucket, node."""
     links_of = lambda rows: rows.filter(F.col("similarity") >= threshold).select(F.col("node").alias("u"), F.col("pivot").alias("v"))
-    ranked = members.join(scores, "node")
-    heads = ranked.groupBy("bucket").agg(F.max_by("node", F.struct("score", -F.col("node"))).alias("pivot"))
+    # Of members that met as many, the lightest: edits, which are rare, and additions weigh more, and all others would share that they lack those of the pivot.
+    ranked = members.join(scores.join(vectors.select("node", "mass"), "node"), "node")
+    heads = ranked.groupBy("bucket").agg(F.max_by("node", F.struct("score", -F.col("mass"), -F.col("node"))).alias("pivot"))
     asked = members.join(written(heads, "pivots"), "bucket").filter("node != pivot").select("node", "pivot").distinct()
     now = written(compared(asked, vectors, in_full=True), "compared")
     labels = _relabelled(vectors.select("node", F.col("node").alias("label")), links_of(now))

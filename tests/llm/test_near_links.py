@@ -117,3 +117,15 @@ def test_a_match_shares_deviations_from_the_pivot(seed):
             assert gap > -1e-4 and need > -1e-4 and 2 * shared >= gap + need - 1e-3
             hit += 1
     assert hit > 0
+
+
+def test_the_pivot_is_not_an_edited_copy(spark, monkeypatch):
+    """Of 90 that met as many the original, lighter than its edited copies, is the pivot, whatever the numbers of the nodes."""
+    rng = random.Random(5)
+    base = set(range(100))
+    bucket = [(n, base - {rng.randrange(100)} | {1000 + 10 * n + i for i in range(3)}) for n in range(89)] + [(89, base)]
+    asked = []
+    compared = minhash.compared
+    monkeypatch.setattr(minhash, "compared", lambda pairs, *rest, **named: asked.append(pairs) or compared(pairs, *rest, **named))
+    check_classes(spark, [bucket], {})
+    assert {r.pivot for r in asked[0].collect()} == {89}
